@@ -9,14 +9,12 @@ from zonelake.functions.scalars import quarter_start, url_container, url_key
 from zonelake.operators import filters
 from zonelake.plans import analysis
 
-DAY = F.lit("1999-12-31").cast("timestamp_ntz")
-
 
 @query("""
     SELECT o_orderkey, o_orderdate FROM orders
     WHERE o_orderdate > (SELECT MAX(o_orderdate) FROM orders WHERE o_orderdate <= TIMESTAMP '1999-12-31')""")
 def hwm_filter(t):
-    loaded = t.orders.filter(F.col("o_orderdate") <= DAY)
+    loaded = t.orders.filter(F.col("o_orderdate") <= F.lit("1999-12-31").cast("timestamp_ntz"))
     return filters.newer_than(t.orders.select("o_orderkey", "o_orderdate"), loaded, "o_orderdate")
 
 

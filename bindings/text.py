@@ -45,8 +45,7 @@ def top_terms_short(t):
     SELECT doc_id, term, CAST(COUNT(*) AS INT) AS n
     FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{PATTERN}', 0)) AS term FROM documents) GROUP BY ALL""")
 def term_counts(t):
-    counted = text.with_term_counts(t.documents, text.words("text", PATTERN))
-    return counted.select("doc_id", F.inline("terms"))
+    return t.documents.select("doc_id", F.inline(text.term_counts(text.words("text", PATTERN))))
 
 
 @query(f"""

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import StopWordsRemover
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Words of two or more word characters, in any script.
@@ -25,34 +25,45 @@ def drop_words(tokens: Column, stop_words: list[str]) -> Column:
     return F.filter(tokens, lambda w: ~w.isin(stop_words)) if stop_words else tokens
 
 
-def with_term_counts(df: DataFrame, tokens: Column, name: str = "terms") -> DataFrame:
-    """Add ``name``: array of (term, n) for the tokens of each row, in term order.
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed a single time per row.
+
+    A plain column reference would not do: when a filter is pushed down, the optimizer puts the defining expression in
+    place of the reference, and inside a lambda that would mean once per array element.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def term_counts(tokens: Column) -> Column:
+    """Array of (term, n) for an array of tokens, in term order; no tokens give an empty array.
 
     The sorted tokens form runs; a run ends where the next one starts.  The cost per row is that of the sort, and
     nothing leaves the row, so neither long texts nor frequent words meet in one task.
     """
-    runs = F.filter(
-        F.sequence(F.lit(0), F.size("_sorted") - 1),
-        lambda i: (i == 0) | (F.get(F.col("_sorted"), i) != F.get(F.col("_sorted"), i - 1)),
-    )
-    counted = F.transform(
-        F.col("_starts"),
-        lambda start, k: F.struct(
-            F.get(F.col("_sorted"), start).alias("term"),
-            (F.coalesce(F.get(F.col("_starts"), k + 1), F.size("_sorted")) - start).alias("n"),
-        ),
-    )
+
     empty = F.array().cast("array<struct<term:string,n:int>>")
-    return (
-        df.withColumn("_sorted", F.array_sort(F.coalesce(tokens, F.array().cast("array<string>"))))
-        .withColumn("_starts", F.when(F.size("_sorted") > 0, runs))
-        .withColumn(name, F.when(F.size("_sorted") > 0, counted).otherwise(empty))
-        .drop("_sorted", "_starts")
-    )
+
+    def runs(words: Column) -> Column:
+        starts = F.filter(
+            F.sequence(F.lit(1), F.size(words)), lambda i: (i == 1) | (F.get(words, i - 1) != F.get(words, i - 2))
+        )
+        counted = _once(
+            starts,
+            lambda at: F.transform(
+                at,
+                lambda start, k: F.struct(
+                    F.get(words, start - 1).alias("term"),
+                    (F.coalesce(F.get(at, k + 1), F.size(words) + 1) - start).alias("n"),
+                ),
+            ),
+        )
+        return F.when(F.size(words) > 0, counted).otherwise(empty)
+
+    return _once(F.sort_array(F.coalesce(tokens, F.array().cast("array<string>"))), runs)
 
 
 def most_frequent(terms: Column | str, k: int = 2) -> Column:
     """The ``k`` terms with the highest counts (ties: smaller term), in alphabetical order."""
     terms = F.col(terms) if isinstance(terms, str) else terms
-    ranked = F.array_sort(F.transform(terms, lambda t: F.struct((-t["n"]).alias("rank"), t["term"].alias("term"))))
-    return F.array_sort(F.transform(F.slice(ranked, 1, k), lambda t: t["term"]))
+    ranked = F.sort_array(F.transform(terms, lambda t: F.struct((-t["n"]).alias("rank"), t["term"].alias("term"))))
+    return F.sort_array(F.transform(F.slice(ranked, 1, k), lambda t: t["term"]))

@@ -30,7 +30,7 @@ def headline_terms(
     """Add the ``k`` most frequent non-stop words per title, alphabetically; none left gives an empty array."""
     stop_words = text.default_stop_words() if stop_words is None else stop_words
     tokens = text.drop_words(text.words(title, pattern), stop_words)
-    return text.with_term_counts(df, tokens, "_terms").withColumn(name, text.most_frequent("_terms", k)).drop("_terms")
+    return df.withColumn(name, text.most_frequent(text.term_counts(tokens), k))
 
 
 def lexicon_sentiment(
@@ -42,8 +42,8 @@ def lexicon_sentiment(
     first, so a title sends each of its words once.  The lexicon join is left to Spark: a lexicon below the broadcast
     threshold is broadcast; a larger one is joined by term, where adaptive execution splits frequent words.
     """
-    counted = text.with_term_counts(df.select(key, title), text.words(title, pattern), "_terms")
-    words = counted.select(key, F.explode_outer("_terms").alias("_t")).select(key, "_t.term", "_t.n")
+    counted = text.term_counts(text.words(title, pattern))
+    words = df.select(key, F.explode_outer(counted).alias("_t")).select(key, "_t.term", "_t.n")
     scored = words.join(lexicon.select("term", "valence"), "term", "left")
     total = F.coalesce(F.sum(F.col("valence") * F.col("n")), F.lit(0).cast("double")).cast("double")
     sums = scored.groupBy(key).agg(total.alias("_total"))
