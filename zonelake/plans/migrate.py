@@ -136,7 +136,8 @@ def _staged(spark: SparkSession, base: str, dataset: Dataset) -> DataFrame | Non
         df = spark.read.option("mergeSchema", "true").parquet(f"{dataset.trusted_root(base)}/data")
     except AnalysisException:  # no batch was ever staged
         return None
-    return df.withColumns({BATCH: F.col(BATCH).cast("string"), SNAPSHOT: F.col(SNAPSHOT).cast("string")})
+    kinds = {BATCH: "string", SNAPSHOT: "string", FILE_OK: "boolean"}  # partition values, read from folder names
+    return df.withColumns({name: F.col(name).cast(kind) for name, kind in kinds.items()})
 
 
 def _published(spark: SparkSession, base: str, dataset: Dataset, flag: str) -> DataFrame | None:

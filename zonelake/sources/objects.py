@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from zonelake.functions.scalars import media_kind, png_size
 
@@ -58,7 +59,7 @@ def probe_objects(paths: DataFrame, head_bytes: int = HEADER_BYTES) -> DataFrame
     return paths.select("path").mapInPandas(probe, "path STRING, size BIGINT, head BINARY")
 
 
-@F.pandas_udf("struct<width: bigint, height: bigint>")
+@F.pandas_udf(T.StructType().add("width", T.LongType()).add("height", T.LongType()))
 def _jpeg_size(content: pd.Series) -> pd.DataFrame:
     """Walk the JPEG segments to the frame header, which holds height and width."""
 

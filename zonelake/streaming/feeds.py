@@ -27,10 +27,16 @@ def read_topics(spark: SparkSession, servers: str, topics: list[str], starting:
     )
 
 
-def read_files(spark: SparkSession, path: str, schema: str, fmt: str = "parquet", files_per_batch: int | None = None) -> DataFrame:
-    """A folder or glob of files as a stream, e.g. landed messages."""
+def read_files(
+    spark: SparkSession, folder: str, schema: str, fmt: str = "parquet", glob: str | None = None, files_per_batch: int | None = None
+) -> DataFrame:
+    """A folder of files as a stream, e.g. landed messages; ``glob`` picks files by name."""
     reader = spark.readStream.format(fmt).schema(schema)
-    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).load(path)
+    if glob:
+        reader = reader.option("pathGlobFilter", glob)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.load(folder)
 
 
 def parse_messages(df: DataFrame, schema: T.StructType | str, keep: list[str] | None = None) -> DataFrame:
