@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from zonelake.session import ensure_runtime
+from zonelake.session import ensure_runtime, spread_small
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -23,6 +23,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def spread(self, name: str, *columns: str) -> DataFrame:
+        """A table of long texts, ready for costly work on each row; only the named columns are moved."""
+        return spread_small(getattr(self, name).select(*columns))
+
 
 def query(sql: str | None = None, name: str | None = None):
     """Register ``function(tables)`` under its own name, with its oracle."""

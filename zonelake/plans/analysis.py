@@ -8,7 +8,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from zonelake.functions import text
@@ -121,21 +121,27 @@ def fit_gaussian_nb(train: DataFrame, features: list[str], label: str = "label",
 
     Variances are population variances plus ``smoothing`` times the largest feature variance of all rows.
     """
-    widest = train.agg(F.array_max(F.array(*[F.var_pop(c) for c in features]))).scalar()
     per_class = train.groupBy(label).agg(
         F.count(F.lit(1)).alias("n"),
-        F.array(*[F.avg(c) for c in features]).alias("means"),
-        F.array(*[F.var_pop(c) for c in features]).alias("_variances"),
+        *[F.avg(c).alias(f"_mean{i}") for i, c in enumerate(features)],
+        *[F.var_pop(c).alias(f"_var{i}") for i, c in enumerate(features)],
     )
-    total = train.agg(F.count(F.lit(1))).scalar()
-    return per_class.select(
+    # The variance over all rows follows from the class moments, so a second pass over the data is not needed.  The
+    # window holds one row per class.
+    classes = Window.partitionBy(F.lit(0))
+    share = F.col("n") / F.sum("n").over(classes)
+    overall = [
+        F.sum(share_i).over(classes) - F.pow(F.sum(mean_i).over(classes), F.lit(2))
+        for share_i, mean_i in (
+            (F.col("prior") * (F.col(f"_var{i}") + F.col(f"_mean{i}") * F.col(f"_mean{i}")), F.col("prior") * F.col(f"_mean{i}"))
+            for i in range(len(features))
+        )
+    ]
+    return per_class.withColumn("prior", share).withColumn("_extra", F.array_max(F.array(*overall)) * smoothing).select(
         F.col(label).alias("label"),
-        (F.col("n") / total).alias("prior"),
-        "means",
-        "_variances",
-        (widest * F.lit(smoothing)).alias("_extra"),
-    ).select(
-        "label", "prior", "means", F.transform("_variances", lambda v: v + F.col("_extra")).alias("variances")
+        "prior",
+        F.array(*[F.col(f"_mean{i}") for i in range(len(features))]).alias("means"),
+        F.array(*[F.col(f"_var{i}") + F.col("_extra") for i in range(len(features))]).alias("variances"),
     )
 
 

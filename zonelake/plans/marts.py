@@ -13,12 +13,18 @@ from zonelake.operators.windows import change_over_previous
 
 
 def monthly_transactions(transactions: DataFrame) -> DataFrame:
-    """Amount, count and mean login attempts per user and month."""
-    return transactions.groupBy("user_id", month_key("timestamp").alias("month")).agg(
+    """Amount, count and mean login attempts per user and month.
+
+    Grouped by the month's first day, a number; the month is written out as text once per result row.
+    """
+    totals = transactions.groupBy("user_id", F.trunc("timestamp", "month").alias("_first_day")).agg(
         F.sum("amount").alias("total_amount"),
         F.count(F.lit(1)).alias("tx_count"),
         F.avg("login_attempts").alias("avg_login_attempts"),
     )
+    return totals.select(
+        "user_id", month_key("_first_day").alias("month"), "total_amount", "tx_count", "avg_login_attempts"
+    )
 
 
 def status_counts(kyc: DataFrame) -> DataFrame:

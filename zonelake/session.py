@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the operators rely on.  All can be changed on a running session.
 RUNTIME_CONF = {
@@ -48,3 +48,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="zonelake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return os.path.join(base, "zonelake", f"{name}-{uuid.uuid4().hex}")
+
+
+def spread_small(df: DataFrame) -> DataFrame:
+    """Spread the rows of a few input files over all cores before costly per-row work.
+
+    Spark reads a small file in one task.  An input with at least one file per core is spread already and stays as it
+    is, so a large table is never shuffled for this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
