@@ -30,6 +30,14 @@ def indicator_years_long(t):
     return reshape.wide_years_to_long(wide, F.col("indicator"))
 
 
+@query(NATION_YEARS_SQL)
+def indicator_documents_long(t):
+    """One JSON document per nation with a key per year that it has."""
+    pairs = F.collect_list(F.struct(F.col("year").cast("string"), "value"))
+    documents = nation_years(t).groupBy("indicator").agg(F.to_json(F.map_from_entries(pairs)).alias("value"))
+    return reshape.year_documents_to_long(documents, F.col("indicator")).select("indicator", "year", "value")
+
+
 @query("""
     SELECT key, COUNT(*) AS n, CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total FROM lineitem
     UNPIVOT (value FOR key IN (l_quantity, l_extendedprice, l_discount, l_tax)) GROUP BY 1""")

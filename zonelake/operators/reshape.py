@@ -50,6 +50,20 @@ def wide_years_to_long(df: DataFrame, indicator: Column | str) -> DataFrame:
     return long.select(F.col("year").cast("int").alias("year"), F.col("_indicator").alias("indicator"), "value")
 
 
+def year_documents_to_long(df: DataFrame, indicator: Column, keep: list[str] | None = None) -> DataFrame:
+    """JSON objects ``{"1980": 1.5, ...}`` in a text column ``value`` to rows (year, indicator, value).
+
+    Read as a map, so that many documents with different years share one scan: a year that a document lacks gives no
+    row, an explicit null gives a NULL value.  Keys that are not four digits are left out.
+    """
+    years = df.select(
+        *(keep or []), indicator.alias("indicator"), F.explode(F.from_json("value", "MAP<STRING, DOUBLE>")).alias("year", "value")
+    )
+    return years.filter(F.col("year").rlike("^[0-9]{4}$")).select(
+        *(keep or []), F.col("year").cast("int").alias("year"), "indicator", "value"
+    )
+
+
 def indicator_of_path(path: Column | str) -> Column:
     """Indicator name from a landing table path ``<indicator>/<snapshot>``."""
     return F.split_part(F.col(path) if isinstance(path, str) else path, F.lit("/"), F.lit(1))

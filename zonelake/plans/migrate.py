@@ -61,19 +61,16 @@ class Dataset:
 
 
 def _indicators(df: DataFrame) -> DataFrame:
-    # The landing schema names the years; the indicator is the first part of the snapshot's name.
-    years = df.drop(SNAPSHOT).columns
-    long = reshape.columns_to_rows(df, reshape.year_columns(years), "year", "value", keep=[SNAPSHOT])
-    return long.select(
-        SNAPSHOT, F.col("year").cast("int").alias("year"), reshape.indicator_of_path(SNAPSHOT).alias("indicator"), "value"
-    )
+    # The indicator is the first part of the snapshot's name.
+    return reshape.year_documents_to_long(df, reshape.indicator_of_path(SNAPSHOT), [SNAPSHOT])
 
 
 # The trusted tables.  Fixed values: names and key columns.
 DATASETS = (
     Dataset("ecb", "exchange_rates", ("time", "currency"), quality.EXCHANGE_RATES,
             lambda df: reshape.rates_to_long(df, [SNAPSHOT]), landing_format="json", landing_schema=reshape.RATES_SCHEMA),
-    Dataset("imf", "indicators", ("year", "indicator"), quality.INDICATORS, _indicators, landing_path="imf"),
+    Dataset("imf", "indicators", ("year", "indicator"), quality.INDICATORS, _indicators,
+            landing_format="text", landing_path="imf"),
     Dataset("finnhub", "financial_report", ("symbol", "year", "quarter", "statement", "concept"),
             quality.FINANCIAL_REPORT, lambda df: reshape.statements_to_long(df, [SNAPSHOT]),
             landing_format="json", landing_schema=reshape.STATEMENTS_SCHEMA, landing_path="finnhub"),
@@ -205,8 +202,11 @@ def _stage(spark: SparkSession, base: str, dataset: Dataset, names: list[str], p
         order_by=[SNAPSHOT, *dataset.order_by],
     )
     if dataset.file_columns:
+        # The store is asked once per path; the answers are kept, so that no retry asks again.
         columns = list(dataset.file_columns)
-        fresh = flag_files(fresh, columns, probe(referenced_paths(fresh, columns)), FILE_OK)
+        answers = f"{dataset.trusted_root(base)}/_objects/{BATCH}={batch}"
+        probe(referenced_paths(fresh, columns)).write.mode("overwrite").parquet(answers)
+        fresh = flag_files(fresh, columns, spark.read.parquet(answers), FILE_OK)
     else:
         fresh = fresh.withColumn(FILE_OK, F.lit(True))
     path = f"{dataset.trusted_root(base)}/data/{BATCH}={batch}"
