@@ -158,10 +158,16 @@ def news_flatten(t):
         F.array("source", "lang").alias("symbols"),
         F.array("lang").alias("tags"),
     )
-    flat = reshape.newest_first(reshape.flatten_news(articles))
+    flat = reshape.flatten_news(articles)
     return local_times(flat, "ts").withColumns({c: F.array_join(c, ",") for c in ("symbols", "tags")})
 
 
+@query("SELECT event_id, CASE WHEN event_type <> 'error' THEN ts END AS ts FROM events ORDER BY ts DESC NULLS LAST")
+def newest_events(t):
+    """Presentation order: newest first, undated last."""
+    return reshape.newest_first(t.events.select("event_id", F.when(F.col("event_type") != "error", F.col("ts")).alias("ts")))
+
+
 @query("""
     SELECT word, COUNT(*) AS n, CAST(SUM(CAST(p_retailprice AS DECIMAL(18,2))) AS DOUBLE) AS total
     FROM (SELECT unnest(string_split(p_name, ' ')) AS word, p_retailprice FROM part) GROUP BY 1""")

@@ -5,6 +5,7 @@ from pyspark.sql import Observation
 from conftest import plan_of
 from zonelake.operators import dedup, filters
 from zonelake.plans import ingest
+from zonelake.sources import sinks
 
 SCHEMA = "k STRING, g INT, t INT"
 
@@ -88,6 +89,13 @@ def test_pending_of_missing_and_present_table(spark, rows):
     assert ingest.pending_query(users) == "SELECT user_id, age, occupation FROM users WHERE status <> 'exported'"
 
 
+def test_exported_ids_are_left_out_next_time(spark, rows, tmp_path):
+    ledger = str(tmp_path / "exported")
+    source = spark.createDataFrame([(1, "pending"), (2, "pending")], "id INT, status STRING")
+    sinks.mark_rows_exported(ingest.pending_rows(source, ["id"], "id").filter("id = 1"), ledger)
+    assert rows(ingest.pending_rows(source, ["id"], "id", spark.read.parquet(ledger))) == [(2,)]
+
+
 KEY = st.one_of(st.none(), st.sampled_from(["a", "b", "c"]))
 ROW = st.tuples(KEY, st.one_of(st.none(), st.integers(0, 2)), st.integers(0, 5))
 

@@ -144,7 +144,9 @@ def test_spread_small(spark, tmp_path):
     spark.range(100).repartition(2).write.parquet(str(tmp_path / "few"))
     spark.range(100).repartition(8).write.parquet(str(tmp_path / "many"))
     few, many = (spark.read.parquet(str(tmp_path / name)) for name in ("few", "many"))
-    assert spread_small(few) is not few and spread_small(many) is many
+    spread = spread_small(few)
+    assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism and spread.count() == 100
+    assert spread_small(many) is many
 
 
 def test_delta_is_a_parameter(spark, tmp_path):

@@ -121,6 +121,15 @@ def test_profile(spark, rows):
     assert rows(stats.column_profile(df, table="t", exact=False)) == expected
 
 
+def test_profile_goes_on_after_a_bad_table(spark):
+    spark.range(3).createOrReplaceTempView("three")
+    profile, problems = stats.profile_tables(spark, ["three", "missing_table"])
+    assert [(r.table, r.rows) for r in profile.collect()] == [("three", 3)] and list(problems) == ["missing_table"]
+    assert stats.profile_tables(spark, ["missing_table"])[0] is None
+    assert stats.sample_rows(spark.table("three"), 2).count() == 2 and '"id"' in stats.schema_tree(spark.table("three"))
+    spark.catalog.dropTempView("three")
+
+
 def test_max_value(spark):
     df = spark.createDataFrame([(1, [1])], "n INT, a ARRAY<INT>")
     assert stats.max_value(df, "n").first() == (1,)

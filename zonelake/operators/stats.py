@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.utils import AnalysisException
+
+from zonelake.sources.readers import read_table
 
 
 def value_counts(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -51,6 +56,17 @@ def column_profile(df: DataFrame, columns: list[str] | None = None, table: str =
     )
 
 
+def profile_tables(spark: SparkSession, names: list[str], exact: bool = True) -> tuple[DataFrame | None, dict[str, str]]:
+    """(profiles of all readable tables, problem per unreadable table): one bad table does not stop the others."""
+    profiles, problems = [], {}
+    for name in names:
+        try:
+            profiles.append(column_profile(read_table(spark, name), table=name, exact=exact))
+        except AnalysisException as problem:
+            problems[name] = problem.getCondition() or str(problem)
+    return (reduce(DataFrame.unionByName, profiles) if profiles else None), problems
+
+
 def sample_rows(df: DataFrame, n: int = 5) -> DataFrame:
     """First ``n`` rows as JSON text, for a profile or preview."""
     return df.limit(n).select(F.to_json(F.struct("*")).alias("row"))

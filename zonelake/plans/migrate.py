@@ -210,6 +210,10 @@ def _stage(spark: SparkSession, base: str, dataset: Dataset, names: list[str], p
     else:
         fresh = fresh.withColumn(FILE_OK, F.lit(True))
     path = f"{dataset.trusted_root(base)}/data/{BATCH}={batch}"
+    if len(names) > 1 or dataset.file_columns:
+        # Several output folders: bring rows of one folder together, so that not every task writes a small file into
+        # each.  Adaptive execution splits the large folders over several tasks.
+        fresh = fresh.hint("rebalance", SNAPSHOT, FILE_OK)
     fresh.write.mode("overwrite").partitionBy(SNAPSHOT, FILE_OK).parquet(path)
 
     # Everything below reads the staged files, column by column.

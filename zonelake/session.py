@@ -51,10 +51,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def spread_small(df: DataFrame) -> DataFrame:
-    """Spread the rows of a few input files over all cores before costly per-row work.
+    """Spread the rows of a small scan over all cores before costly per-row work.
 
-    Spark reads a small file in one task.  An input with at least one file per core is spread already and stays as it
-    is, so a large table is never shuffled for this.
+    Spark reads a small file in one or a few tasks.  A scan with at least one task per core is spread already and
+    stays as it is, so a large table is never shuffled for this.  ``df`` is a plain scan or projection.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
