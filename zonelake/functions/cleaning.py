@@ -12,6 +12,17 @@ def _replace(df: DataFrame, new: dict[str, Column]) -> DataFrame:
     return df.withColumns(new) if new else df
 
 
+def computed_once(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Keep costly column expressions from being repeated in the filters that follow.
+
+    The optimizer moves a filter below the projection that computes its column, and so computes it twice.  It does not
+    move a filter below the generator used here, which yields one row per row.
+    """
+    kept = [F.col(f"`{c}`") for c in df.columns if c not in columns]
+    made = F.inline(F.array(F.struct(*columns)))
+    return df.select(*kept, made).select(*df.columns)
+
+
 def lookup(df: DataFrame, key: str, mapping: DataFrame | dict, name: str) -> DataFrame:
     """Add ``name``: the value of ``key`` in a mapping; NULL when absent.
 
@@ -109,9 +120,14 @@ def valid_time(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.try_to_timestamp(F.col(column))).filter(F.col(column).isNotNull())
 
 
-def normalise_text(df: DataFrame, columns: list[str], drop_pattern: str = r"(?U)[^\w\s]") -> DataFrame:
-    """Lower case without punctuation."""
-    return _replace(df, {c: F.lower(F.regexp_replace(F.col(c), drop_pattern, "")) for c in columns})
+def normalise_text(df: DataFrame, columns: list[str], keep_pattern: str = r"[\w\s]+") -> DataFrame:
+    """Lower case without punctuation: only the parts that match ``keep_pattern`` stay.
+
+    The default keeps ASCII word characters and spaces; ``(?U)[\\w\\s]+`` keeps the letters of all scripts.  Joining the
+    parts to keep is several times faster than replacing every other character.
+    """
+    kept = lambda c: F.array_join(F.regexp_extract_all(F.col(c), F.lit(keep_pattern), F.lit(0)), "")
+    return _replace(df, {c: F.lower(kept(c)) for c in columns})
 
 
 def trim_text(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from zonelake.functions.cleaning import computed_once
 from zonelake.sources.schemas import parse_ddl
 
 
@@ -76,7 +77,9 @@ def dispatch_events(df: DataFrame, schemas: dict[str, str], event_field: str = "
             if known.dataType != field.dataType:
                 raise ValueError(f"field '{field.name}' has two types: {known.dataType}, {field.dataType}")
             owners.setdefault(field.name, set()).add(event)
-    parsed = parse_messages(df, T.StructType(list(fields.values()))).filter(F.col(event_field).isin(*schemas))
+    parsed = computed_once(parse_messages(df, T.StructType(list(fields.values()))), list(fields)).filter(
+        F.col(event_field).isin(*schemas)
+    )
     return parsed.select(
         *[
             F.col(f"`{name}`")
