@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.registry import NATION_YEARS_SQL, REPORT_LINES_SQL, TRANSACTIONS_SQL, nation_years, query, report_lines, transactions
+from bindings.reshape import rate_documents
 from zonelake.functions.scalars import media_kind
-from zonelake.operators import integrity, quality, stats, windows
+from zonelake.operators import integrity, quality, reshape, stats, windows
 from zonelake.operators.quality import Between, DistinctWithinRecord, Increasing, InSet, Matches, NotNull, Suite
 
 
@@ -111,6 +112,128 @@ def suite_results_report(t):
     return quality.evaluate(lines, quality.FINANCIAL_REPORT)
 
 
+_RATES_SQL = """
+    SELECT o_orderpriority AS doc, date_trunc('month', o_orderdate) AS time, c_mktsegment AS currency,
+           CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS rate
+    FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL"""
+
+
+@query(suite_sql("exchange_rates", _RATES_SQL, {
+    "not_null:time": "time IS NULL",
+    "between:time": "time < DATE '1999-01-04'",
+    "not_null:currency": "currency IS NULL",
+    "matches:currency": "length(currency) <> 3",
+    "not_null:rate": "rate IS NULL",
+    "between:rate": "rate < 0 OR rate > 1000000",
+    "distinct_within_record:time,currency": "false",
+}))
+def suite_results_rates(t):
+    return quality.evaluate(reshape.rates_to_long(rate_documents(t)), quality.EXCHANGE_RATES)
+
+
+_ARTICLES_SQL = """
+    SELECT doc_id, url AS link, toxic, quality FROM documents LEFT JOIN labels USING (doc_id) LEFT JOIN pages ON page_id = doc_id"""
+
+
+@query(suite_sql("financial_news", _ARTICLES_SQL, {
+    "not_null:ts": "doc_id % 10 = 0",
+    "not_null:title": "false",
+    "not_null:link": "link IS NULL",
+    "matches:link": "NOT starts_with(link, 'http://') AND NOT starts_with(link, 'https://')",
+    "between:sent_neg": "toxic * 2 > 1",
+    "between:sent_neu": "false",
+    "between:sent_pos": "quality > 1",
+    "between:sent_polarity": "quality - toxic * 2 < -1",
+}, duplicates_sql("unique:link", "link", "(SELECT link FROM r WHERE link IS NOT NULL)").replace(
+    "(SELECT COUNT(*) FROM (SELECT link FROM r WHERE link IS NOT NULL))", "(SELECT COUNT(*) FROM r)")))
+def suite_results_news(t):
+    articles = t.documents.select("doc_id").join(t.labels, "doc_id", "left").join(
+        t.pages.select(F.col("page_id").alias("doc_id"), "url"), "doc_id", "left"
+    )
+    scores = F.struct(
+        (F.col("toxic") * 2).cast("double").alias("neg"), F.lit(0.0).alias("neu"), F.col("quality").cast("double").alias("pos"),
+        (F.col("quality") - F.col("toxic") * 2).cast("double").alias("polarity"),
+    )
+    nested = articles.select(
+        F.when(F.col("doc_id") % 10 != 0, "2024-01-01T00:00:00+00:00").otherwise("soon").alias("date"),
+        F.col("doc_id").cast("string").alias("title"), F.col("url").alias("link"), F.lit("").alias("content"),
+        scores.alias("sentiment"), F.array().cast("array<string>").alias("symbols"), F.array().cast("array<string>").alias("tags"),
+    )
+    return quality.evaluate(reshape.flatten_news(nested), quality.NEWS)
+
+
+@query(suite_sql("user_profiles", "SELECT * FROM customer", {
+    "not_null:user_id": "c_custkey IS NULL",
+    "matches:user_id": "c_nationkey = 3",
+    "not_null:age": "c_acctbal < 0",
+    "between:age": "CAST(floor(c_acctbal / 80) AS BIGINT) > 120 AND c_acctbal >= 0",
+    "not_null:occupation": "c_mktsegment = 'MACHINERY'",
+}, duplicates_sql("unique:user_id", "c_nationkey = 3, c_custkey")))
+def suite_results_profiles(t):
+    prefix = F.when(F.col("c_nationkey") == 3, "ac").otherwise("AC")
+    profiles = t.customer.select(
+        F.concat(prefix, F.lpad(F.col("c_custkey").cast("string"), 5, "0")).alias("user_id"),
+        F.when(F.col("c_acctbal") >= 0, F.floor(F.col("c_acctbal") / 80)).alias("age"),
+        F.nullif("c_mktsegment", F.lit("MACHINERY")).alias("occupation"),
+    )
+    return quality.evaluate(profiles, quality.PROFILES)
+
+
+def _request_ids(column: str):
+    """UUID-shaped text from a hash of the key."""
+    parts, digest = ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12)), F.md5(F.col(column).cast("string"))
+    return F.concat_ws("-", *[F.substring(digest, at, length) for at, length in parts])
+
+
+@query(suite_sql("kyc_metadata", "SELECT * FROM orders", {
+    "not_null:request_id": "false",
+    "matches:request_id": "false",
+    "not_null:user_id": "false",
+    "matches:user_id": "o_custkey > 99999",
+    "not_null:doc_s3_path": "o_orderpriority = '1-URGENT'",
+    "matches:doc_s3_path": "o_orderpriority = '2-HIGH'",
+    "not_null:face_s3_path": "false",
+    "matches:face_s3_path": "o_orderpriority = '5-LOW'",
+    "not_null:upload_time": "false",
+    "not_null:status": "o_orderstatus = 'P'",
+    "in_set:status": "o_orderstatus = 'F'",
+}, duplicates_sql("unique:request_id", "o_orderkey")))
+def suite_results_kyc(t):
+    folder, priority = F.lit("s3a://unstructureddata/images/"), F.col("o_orderpriority")
+    jobs = t.orders.select(
+        _request_ids("o_orderkey").alias("request_id"),
+        F.concat(F.lit("AC"), F.lpad(F.col("o_custkey").cast("string"), 5, "0")).alias("user_id"),
+        F.when(priority != "1-URGENT", F.concat(folder, F.when(priority == "2-HIGH", "face_").otherwise("doc_"), "o_orderkey", F.lit(".jpg"))).alias("doc_s3_path"),
+        F.concat(folder, F.lit("face_"), "o_orderkey", F.when(priority == "5-LOW", ".png").otherwise(".jpg")).alias("face_s3_path"),
+        F.col("o_orderdate").alias("upload_time"),
+        F.when(F.col("o_orderstatus") == "F", "finished").when(F.col("o_orderstatus") == "O", "pending").alias("status"),
+    )
+    return quality.evaluate(jobs, quality.KYC)
+
+
+@query(suite_sql("pdf_metadata", "SELECT * FROM orders", {
+    "not_null:request_id": "false",
+    "matches:request_id": "o_orderstatus = 'P'",
+    "not_null:user_id": "false",
+    "matches:user_id": "false",
+    "not_null:category": "false",
+    "in_set:category": "o_orderpriority = '1-URGENT'",
+    "not_null:pdf_s3_path": "false",
+    "matches:pdf_s3_path": "o_orderpriority = '2-HIGH'",
+    "not_null:upload_time": "false",
+}, duplicates_sql("unique:request_id", "CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END")))
+def suite_results_pdf(t):
+    priority = F.col("o_orderpriority")
+    uploads = t.orders.select(
+        F.when(F.col("o_orderstatus") == "P", "no id").otherwise(_request_ids("o_orderkey")).alias("request_id"),
+        F.lit("AC00001").alias("user_id"),
+        F.when(priority == "1-URGENT", "invoice").otherwise("report").alias("category"),
+        F.concat(F.lit("s3a://unstructureddata/pdfs/"), "o_orderkey", F.when(priority == "2-HIGH", ".PDF").otherwise(".pdf")).alias("pdf_s3_path"),
+        F.col("o_orderdate").alias("upload_time"),
+    )
+    return quality.evaluate(uploads, quality.PDF_UPLOADS)
+
+
 @query(f"""
     WITH r AS MATERIALIZED ({NATION_YEARS_SQL})
     SELECT indicator, 'indicators' AS suite, rule, n, unexpected, unexpected = 0 AS success FROM (
