@@ -31,6 +31,7 @@ from zonelake.sources.objects import probe_objects
 SNAPSHOT = "landing_table"
 BATCH = "batch_id"
 FILE_OK = "file_ok"
+_LANDED, _KEPT = "rows landed", "rows kept"
 AUDIT_SCHEMA = (
     "landing_table STRING, timestamp STRING, success BOOLEAN, error STRING, incoming_schema STRING, "
     "outgoing_schema STRING, cnt_orig BIGINT, cnt_dedup BIGINT, rule_results STRING, quarantine BOOLEAN, "
@@ -182,9 +183,9 @@ class _Round:
     batch: str
     incoming: str
     outgoing: str
-    before: dict[str, int]
-    after: dict[str, int]
-    bad_files: dict[str, int]
+    before: dict[str, int] = field(default_factory=dict)
+    after: dict[str, int] = field(default_factory=dict)
+    bad_files: dict[str, int] = field(default_factory=dict)
     rules: dict[str, list[dict]] = field(default_factory=dict)
 
     def passed(self, name: str) -> bool:
@@ -216,24 +217,27 @@ def _stage(spark: SparkSession, base: str, dataset: Dataset, names: list[str], p
         fresh = fresh.hint("rebalance", SNAPSHOT, FILE_OK)
     fresh.write.mode("overwrite").partitionBy(SNAPSHOT, FILE_OK).parquet(path)
 
-    # Everything below reads the staged files, column by column.
+    # One collect of a few numbers per snapshot.  All but the landed count read the staged files, column by column.
     staged = spark.read.schema(fresh.schema).parquet(path)
-    counts = (
-        staged.groupBy(SNAPSHOT)
-        .agg(F.count(F.lit(1)).alias("rows"), F.count_if(~F.col(FILE_OK)).alias("bad"))
-        .collect()
-    )
+    number = F.count(F.lit(1)).alias("n")
+    landed = tabular.groupBy(SNAPSHOT).agg(number, F.lit(0).cast("bigint").alias("unexpected"))
+    kept = staged.groupBy(SNAPSHOT).agg(number, F.count_if(~F.col(FILE_OK)).alias("unexpected"))
+    facts = quality.evaluate(staged, dataset.suite, by=[SNAPSHOT]).drop("suite")
+    for counts, name in ((landed, _LANDED), (kept, _KEPT)):
+        facts = facts.unionByName(counts.withColumns({"rule": F.lit(name), "success": F.lit(True)}))
     found = _Round(
         batch=batch,
         incoming=landing.drop(SNAPSHOT).schema.json(),
         outgoing=fresh.drop(SNAPSHOT, FILE_OK).schema.json(),
-        before={row[0]: row[1] for row in tabular.groupBy(SNAPSHOT).count().collect()},
-        after={row[SNAPSHOT]: row.rows for row in counts},
-        bad_files={row[SNAPSHOT]: row.bad for row in counts},
     )
-    for row in quality.evaluate(staged, dataset.suite, by=[SNAPSHOT]).collect():
-        rule = {"rule": row.rule, "n": row.n, "unexpected": row.unexpected, "success": row.success}
-        found.rules.setdefault(row[SNAPSHOT], []).append(rule)
+    for row in facts.collect():
+        if row.rule == _LANDED:
+            found.before[row[SNAPSHOT]] = row.n
+        elif row.rule == _KEPT:
+            found.after[row[SNAPSHOT]], found.bad_files[row[SNAPSHOT]] = row.n, row.unexpected
+        else:
+            rule = {"rule": row.rule, "n": row.n, "unexpected": row.unexpected, "success": row.success}
+            found.rules.setdefault(row[SNAPSHOT], []).append(rule)
     return found
 
 
