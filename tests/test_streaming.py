@@ -1,5 +1,6 @@
 import datetime
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -19,7 +20,9 @@ class Topic:
 
     def put(self, *messages):
         lines = [m if isinstance(m, str) else json.dumps(m) for m in messages]
-        (self.folder / f"{self.count:04d}.txt").write_text("\n".join(lines) + "\n")
+        file = self.folder / f"{self.count:04d}.txt"
+        file.write_text("\n".join(lines) + "\n")
+        os.utime(file, (1_700_000_000 + self.count,) * 2)  # the source takes files in order of time
         self.count += 1
 
     def stream(self, spark):

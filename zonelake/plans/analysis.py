@@ -82,12 +82,6 @@ FEATURES = ("amount", "account_balance", "transaction_duration", "login_attempts
 TARGET = "type"
 
 
-def label_codes(df: DataFrame, target: str = TARGET) -> DataFrame:
-    """(label, code): labels numbered in alphabetical order from 0."""
-    ordered = df.select(F.array_sort(F.collect_set(target)).alias("labels"))
-    return ordered.select(F.posexplode("labels").alias("code", "label")).select("label", "code")
-
-
 def classification_frame(df: DataFrame, features: list[str], target: str = TARGET, keep: list[str] | None = None) -> DataFrame:
     """Complete rows with features as doubles, the target, and ``label``: its alphabetical position.
 
