@@ -30,9 +30,9 @@ from zonelake.llm.graph import components
 WORDS, PERCENT = 5, 80
 #: Cells of a task's counts of shingles, documents of a task that make a shingle common, common shingles at most, and
 #: cells that common shingles mark.  They only set the order of shingles: any order gives the same links.
-COUNTERS, COMMON_ROWS, COMMON, MARKS = 1 << 22, 8, 1 << 16, 1 << 22
+COUNTERS, COMMON_ROWS, COMMON, MARKS = 1 << 23, 3, 1 << 20, 1 << 24
 #: Documents of a region that is joined pair by pair; levels of rings before larger ones are joined in such blocks.
-LEAF, LEVELS = 16, 3
+LEAF, LEVELS = 128, 2
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -229,11 +229,10 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
     regions = stage(shared.select("region", "sig", "n", "pivot", "m"), "regions")
     needed = regions.select("sig").distinct()
     # One row, and so one text, of each set that shares a region.
-    owner = rows.filter(F.col("n") > 0).groupBy("sig").agg(F.min(F.struct(F.col("id").isNull(), "id", "tk")).alias("o"))
-    owner = owner.join(needed, "sig", "left_semi").select("sig", F.col("o.id").alias("oid"), F.col("o.tk").alias("otk"))
-    texts = docs.select(F.col(key).alias("id"), text_key(key, text).alias("tk"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    pool = texts.join(owner, (F.col("tk") == F.col("otk")) & F.col("id").eqNullSafe(F.col("oid"))).select("sig", "text")
-    pool = stage(pool.dropDuplicates(["sig"]), "pool")
+    owner = rows.filter(F.col("n") > 0).groupBy("sig").agg(F.min(F.struct(F.xxhash64("id").alias("k"), "tk")).alias("o"))
+    owner = owner.join(needed, "sig", "left_semi").select("sig", "o.k", "o.tk")
+    texts = docs.select(F.xxhash64(key).alias("k"), text_key(key, text).alias("tk"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    pool = stage(texts.join(owner, ["k", "tk"]).dropDuplicates(["k", "tk"]).select("sig", "text"), "pool")
 
     # Level 1: each document with the pivot that it meets most often, its nearest as far as the regions tell.
     stars = regions.filter((F.col("pivot") != F.col("sig")) & _sized(percent)).groupBy("sig", "pivot").count()
