@@ -11,7 +11,8 @@ document is the pivot, distances to it are computed exactly, and the triangle in
   as only documents of the same or of neighbouring rings can be within e of each other.
 
 Regions with documents of one component only are done; the others are joined again with new pivots, small ones pair by
-pair.  Documents with equal sets are one vertex.
+pair.  Profiles, short vectors of counts whose distance bounds that of the sets from below, spare most pairs that do not
+link their texts.  Documents with equal sets are one vertex.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ WORDS, PERCENT = 5, 80
 #: Cells of a task's counts of shingles, documents of a task that make a shingle common, common shingles at most, and
 #: cells that common shingles mark.  They only set the order of shingles: any order gives the same links.
 COUNTERS, COMMON_ROWS, COMMON, MARKS = 1 << 23, 3, 1 << 20, 1 << 24
+#: Groups of shingles that a set's profile counts: what two profiles differ by, the sets differ by at least.
+GROUPS = 128
 #: Documents of a region that is joined pair by pair; levels of rings before larger ones are joined in such blocks.
 LEAF, LEVELS = 128, 2
 
@@ -87,6 +90,12 @@ def signature(shingles: np.ndarray) -> int:
     return int(signed(mix(np.array([total], np.uint64)))[0])
 
 
+def profile(shingles: np.ndarray) -> bytes:
+    """Counts of shingles by group, at most 255 each."""
+    counts = np.bincount((shingles >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1
 
@@ -96,7 +105,8 @@ def _sets_of(part: pa.RecordBatch, words: int) -> list[np.ndarray]:
 
 
 def describe(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, DataFrame]:
-    """(rows, common): per row id, tk, n, sig; and shingles that many documents of one task have, with their counts."""
+    """(rows, common): per row id, tk, n, sig and, once for each set of a task, its profile; and shingles that several
+    documents of one task have, with their counts."""
     slim = docs.select(F.col(key).alias("id"), text_key(key, text).alias("tk"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
 
@@ -108,9 +118,11 @@ def describe(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFram
             for part in slices(batch, "text"):
                 sets = _sets_of(part, words)
                 sigs = [signature(s) for s in sets]
-                fresh = []
+                fresh, profiles = [], []
                 for g, s in zip(sigs, sets):
-                    if len(s) and g not in seen:
+                    new = len(s) > 0 and g not in seen
+                    profiles.append(profile(s) if new else None)
+                    if new:
                         seen.add(g)
                         fresh.append(s)
                 if fresh:
@@ -122,21 +134,21 @@ def describe(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFram
                 ids = part.column("id")
                 none = pa.nulls(len(part), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [ids, part.column("tk"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), none, none],
-                    names=["id", "tk", "n", "sig", "shingle", "count"],
+                    [ids, part.column("tk"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), pa.array(profiles, pa.binary()), none, none],
+                    names=["id", "tk", "n", "sig", "profile", "shingle", "count"],
                 )
         if common:
             found = np.fromiter(common, np.uint64, len(common))
             counts = counters[(found >> shift).astype(np.int64)].astype(np.int64)
             none = pa.nulls(len(found), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(found), ids.type), none, none, none, pa.array(signed(found)), pa.array(counts)],
-                names=["id", "tk", "n", "sig", "shingle", "count"],
+                [pa.nulls(len(found), ids.type), none, none, none, pa.nulls(len(found), pa.binary()), pa.array(signed(found)), pa.array(counts)],
+                names=["id", "tk", "n", "sig", "profile", "shingle", "count"],
             )
 
-    made = slim.mapInArrow(run, f"id {kind}, tk long, n long, sig long, shingle long, count long")
+    made = slim.mapInArrow(run, f"id {kind}, tk long, n long, sig long, profile binary, shingle long, count long")
     made = stage(made, "shingle-sets")
-    return made.filter(F.col("shingle").isNull()).select("id", "tk", "n", "sig"), made.filter(F.col("shingle").isNotNull())
+    return made.filter(F.col("shingle").isNull()).select("id", "tk", "n", "sig", "profile"), made.filter(F.col("shingle").isNotNull())
 
 
 def common_marks(common: DataFrame) -> np.ndarray:
@@ -183,6 +195,23 @@ def first_regions(docs: DataFrame, text: str, words: int, percent: int, marks: n
     return slim.mapInArrow(run, "region long, sig long, n long")
 
 
+def plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose profiles leave room for a likeness of ``percent`` / 100.  None that links is lost."""
+    one = profiles.select(F.col("sig").alias("a"), F.col("n"), F.col("profile").alias("p"))
+    two = profiles.select(F.col("sig").alias("b"), F.col("n").alias("m"), F.col("profile").alias("q"))
+    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "n", "m", "p", "q")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = lambda c: np.frombuffer(b"".join(c.to_pylist()), np.uint8).astype(np.int64).reshape(-1, GROUPS)
+        for batch in batches:
+            apart = np.abs(counts(batch.column("p")) - counts(batch.column("q"))).sum(axis=1)
+            total = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            keep = pa.array((total - apart) * 100 >= (total + apart) * percent)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+
+    return both.mapInArrow(run, "a long, b long")
+
+
 def distances(pairs: DataFrame, pool: DataFrame, words: int) -> DataFrame:
     """(a, b, shared, united) of every pair (a, b), from the texts in ``pool`` (sig, text)."""
     one = pool.select(F.col("sig").alias("a"), F.col("text").alias("text_a"))
@@ -214,6 +243,14 @@ def _open_regions(regions: DataFrame, known: DataFrame) -> DataFrame:
     return found.join(span.filter(F.col("low") != F.col("high")).select("region", "size"), "region")
 
 
+def _pairs_of(regions: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of one region and different components whose sizes allow the likeness."""
+    x = regions.select("region", F.col("sig").alias("a"), "n", F.col("c").alias("ca"))
+    y = regions.select(F.col("region").alias("r"), F.col("sig").alias("b"), F.col("n").alias("m"), F.col("c").alias("cb"))
+    met = (F.col("region") == F.col("r")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sized(percent)
+    return x.join(y, met).select("a", "b")
+
+
 def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str, text: str, words: int, percent: int, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
     """Links (a, b, shared, united) between sets that join the same sets into components as all links of likeness
     ``percent`` / 100 or more do; every link is computed exactly."""
@@ -227,17 +264,26 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
         (F.col("next").isNull() | (F.col("next") != F.col("sig"))) & ((F.col("pivot") != F.col("sig")) | F.col("next").isNotNull())
     )
     regions = stage(shared.select("region", "sig", "n", "pivot", "m"), "regions")
-    needed = regions.select("sig").distinct()
-    # One row, and so one text, of each set that shares a region.
+    profiles = stage(rows.filter(F.col("profile").isNotNull()).select("sig", "n", "profile").dropDuplicates(["sig"]), "profiles")
+
+    # Level 1: each document with the pivot that it meets most often, its nearest as far as the regions tell.
+    stars = regions.filter((F.col("pivot") != F.col("sig")) & _sized(percent)).groupBy("sig", "pivot").count()
+    nearest = stars.groupBy("sig").agg(F.max(F.struct("count", "pivot")).alias("x")).select(F.col("sig").alias("a"), F.col("x.pivot").alias("b"))
+    nearest = stage(plausible(nearest, profiles, percent), "nearest")
+    # If all of these were links: what could link besides?  So the texts are fetched once for all levels.
+    guessed = _open_regions(regions.select("region", "sig", "n"), components(nearest))
+    guessed = stage(guessed, "open-regions")
+    besides = _pairs_of(guessed.filter(F.col("size") <= leaf), percent).distinct()
+    pairs = stage(nearest.unionByName(plausible(besides, profiles, percent)), "pairs")
+    needed = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig")))
+    needed = needed.unionByName(guessed.filter(F.col("size") > leaf).select("sig")).distinct()
+    # One row, and so one text, of each set.
     owner = rows.filter(F.col("n") > 0).groupBy("sig").agg(F.min(F.struct(F.xxhash64("id").alias("k"), "tk")).alias("o"))
     owner = owner.join(needed, "sig", "left_semi").select("sig", "o.k", "o.tk")
     texts = docs.select(F.xxhash64(key).alias("k"), text_key(key, text).alias("tk"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     pool = stage(texts.join(owner, ["k", "tk"]).dropDuplicates(["k", "tk"]).select("sig", "text"), "pool")
 
-    # Level 1: each document with the pivot that it meets most often, its nearest as far as the regions tell.
-    stars = regions.filter((F.col("pivot") != F.col("sig")) & _sized(percent)).groupBy("sig", "pivot").count()
-    nearest = stars.groupBy("sig").agg(F.max(F.struct("count", "pivot")).alias("x")).select(F.col("sig").alias("a"), F.col("x.pivot").alias("b"))
-    checked = stage(distances(nearest, pool, words), "distances")
+    checked = stage(distances(pairs, pool, words), "distances")
     near = F.col("shared") * 100 >= F.col("united") * percent
     known = components(checked.filter(near))
 
@@ -252,9 +298,7 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
         small = regions if last else regions.filter(F.col("size") <= leaf)
         large = regions.filter(F.col("size") > leaf)
         # Small regions pair by pair; when rings no longer part them, larger ones in blocks of so many documents.
-        x = small.select("region", F.col("sig").alias("a"), "n", F.col("c").alias("ca"))
-        y = small.select(F.col("region").alias("r"), F.col("sig").alias("b"), F.col("n").alias("m"), F.col("c").alias("cb"))
-        pairs = x.join(y, (F.col("region") == F.col("r")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sized(percent)).select("a", "b")
+        pairs = plausible(_pairs_of(small, percent).distinct(), profiles, percent)
         if not last:
             first = W.partitionBy("region").orderBy("sig")
             large = large.withColumns({"pivot": F.first("sig").over(first), "m": F.first("n").over(first)})
@@ -262,7 +306,9 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
             others = large.filter(F.col("sig") != F.col("pivot"))
             pairs = pairs.unionByName(others.select(F.least("sig", "pivot").alias("a"), F.greatest("sig", "pivot").alias("b")))
         seen = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = pairs.distinct().join(seen, ["a", "b"], "left_anti")
+        pairs = stage(pairs.distinct().join(seen, ["a", "b"], "left_anti"), "pairs")
+        if pairs.isEmpty() and (last or large.isEmpty()):
+            return checked.filter(near)
         checked = stage(checked.unionByName(distances(pairs, pool, words)), "distances")
         known = components(checked.filter(near))
         if last:
