@@ -15,60 +15,77 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 #: Vectors of a shard and queries of a block.
-SHARD_ROWS, BLOCK_QUERIES = 8192, 1024
+SHARD_ROWS, BLOCK_QUERIES = 8192, 512
 #: First half-width of the windows in standard deviations of the projection, and its growth.
-WIDTH, GROWTH, STEPS = 0.7, 1.25, 12
+WIDTH, GROWTH, STEPS = 0.98, 1.06, 60
 #: Share of the windows that must hold a vector, and share of a shard that has to pass before widening stops.
-COLLISIONS, CANDIDATES = 0.72, 0.22
+COLLISIONS, CANDIDATES = 0.64, 0.25
 
 
 class ShardIndex:
-    """Sorted projections of some vectors (rows of ``vectors``, float64)."""
+    """Sorted projections of some vectors (rows of ``vectors``, float64).
+
+    A window is widened in steps of a block, 1 / 256 of the sorted array, so a vector's place in it is one byte and
+    collisions are counted by comparing bytes.
+    """
 
     def __init__(self, vectors: np.ndarray, collisions: float, candidates: float, seed: int = 7):
-        self.vectors, self.candidates = vectors, candidates
-        dims = vectors.shape[1]
+        self.vectors, self.rough, self.candidates = vectors, vectors.astype(np.float32), candidates
+        n, dims = vectors.shape
         self.turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(dims, dims)))[0]
         points = vectors @ self.turn
-        self.order = np.ascontiguousarray(np.argsort(points, axis=0, kind="stable").T).astype(np.int32)
-        self.sorted = np.ascontiguousarray(np.take_along_axis(points.T, self.order, 1))
+        order = np.argsort(points, axis=0, kind="stable").T
+        self.sorted = np.ascontiguousarray(np.take_along_axis(points.T, order, 1))
+        self.block = np.zeros((dims, n), np.uint8)
+        np.put_along_axis(self.block, order, (np.arange(n) * 256 // n).astype(np.uint8)[None, :], 1)
+        self.reach = float(np.abs(vectors).max())
         self.spread = np.maximum(points.std(axis=0), 1e-12)
         self.enough = max(1, int(np.ceil(collisions * dims)))
 
-    def collided(self, query: np.ndarray, k: int) -> np.ndarray:
-        """Rows that pass the threshold in the first windows in which enough of them do; all rows in a small shard."""
-        n = len(self.vectors)
+    def collided(self, queries: np.ndarray, k: int) -> list[np.ndarray]:
+        """For each query the rows that pass the threshold in the first windows in which enough of them do."""
+        n, dims = self.vectors.shape
+        found: list[np.ndarray] = [np.arange(n)] * len(queries)
         wanted = int(self.candidates * n) + 2 * k
-        if wanted >= n:
-            return np.arange(n)
-        own, counts = query @ self.turn, np.zeros(n, np.int32)
-        low = high = None
-        width = WIDTH
+        if wanted >= n:  # a small shard: all rows
+            return found
+        own, active, width = queries @ self.turn, np.arange(len(queries)), WIDTH
+        kind = np.uint8 if dims < 256 else np.uint16
         for _ in range(STEPS):
-            reach = width * self.spread
-            at = [(int(s.searchsorted(x - r)), int(s.searchsorted(x + r, "right"))) for s, x, r in zip(self.sorted, own, reach)]
-            for j, (a, b) in enumerate(at):
-                order = self.order[j]
-                if low is None:
-                    counts[order[a:b]] += 1
+            low, high = np.empty((2, dims, len(active)), np.int64)
+            for j in range(dims):
+                low[j] = self.sorted[j].searchsorted(own[active, j] - width * self.spread[j])
+                high[j] = self.sorted[j].searchsorted(own[active, j] + width * self.spread[j], "right")
+            none = high <= low
+            low = np.minimum(low, n - 1) * 256 // n
+            span = np.maximum(high - 1, 0) * 256 // n - low
+            low, span = low.astype(np.uint8), np.where(none, 0, span).astype(np.uint8)
+            going = []
+            for at, q in enumerate(active):
+                inside = (self.block - low[:, at, None]) <= span[:, at, None]
+                counts = inside.view(np.uint8).sum(axis=0, dtype=kind)
+                rows = np.flatnonzero(counts >= self.enough)
+                if len(rows) >= wanted:
+                    found[q] = rows
                 else:
-                    counts[order[a : low[j]]] += 1
-                    counts[order[high[j] : b]] += 1
-            low, high = [a for a, _ in at], [b for _, b in at]
-            found = np.flatnonzero(counts >= self.enough)
-            if len(found) >= wanted:
-                return found
+                    going.append(q)
+            active = np.array(going, np.int64)
+            if not len(active):
+                break
             width *= GROWTH
-        return np.arange(n)
+        return found
 
-    def nearest(self, query: np.ndarray, own: np.ndarray, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and inner products of the k best verified rows other than ``own``; ties to the smaller id."""
-        rows = self.collided(query, k)
+    def nearest(self, rows: np.ndarray, query: np.ndarray, own: int, ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and inner products of the k best of some rows other than ``own``; ties to the smaller id."""
         rows = rows[ids[rows] != own]
-        rough = self.vectors[rows] @ query
         if len(rows) > k:
-            edge = np.partition(rough, len(rough) - k)[len(rough) - k]
-            rows = rows[rough >= edge - 1e-9 * max(1.0, abs(edge))]
+            # In single precision first; whatever its rounding could hide is counted exactly.
+            with np.errstate(over="ignore", invalid="ignore"):
+                rough = self.rough[rows] @ query.astype(np.float32)
+            slack = 1e-5 * self.reach * float(np.abs(query).sum())
+            if np.isfinite(rough).all() and np.isfinite(slack):
+                edge = np.partition(rough, len(rough) - k)[len(rough) - k]
+                rows = rows[rough >= edge - slack]
         exact = (self.vectors[rows] * query).sum(axis=1)
         best = np.lexsort((ids[rows], -exact))[:k]
         return ids[rows[best]], exact[best]
@@ -115,8 +132,9 @@ def nearest_neighbours(
         if len(left) and len(right):
             ids, own = left.column("id").to_numpy(), right.column("id").to_numpy()
             index = ShardIndex(matrix(left), collisions, candidates)
-            for q, query in zip(own, matrix(right)):
-                found, scores = index.nearest(query, q, ids, k)
+            queries = matrix(right)
+            for q, query, rows in zip(own, queries, index.collided(queries, k)):
+                found, scores = index.nearest(rows, query, q, ids, k)
                 made["query_id"].append(np.full(len(found), q))
                 made["vec_id"].append(found)
                 made["score"].append(scores)
