@@ -37,14 +37,15 @@ def with_spots(df: DataFrame, text: str, name: str, anchors=ANCHORS, chain: int
     marks = "|".join([_START, *sorted(anchors, key=lambda w: (-len(w), w))])
     plain = F.concat(F.lit(f" {_START} "), F.regexp_replace(F.lower(whole), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     plain = F.regexp_replace(plain, " +", " ")
-    marked = F.regexp_replace(plain, f" (?:({marks}) )+", " $1^")
+    # Each anchor is glued to what follows, so a run of anchors and the next content word are one word.
+    marked = F.replace(F.regexp_replace(plain, f" ({marks})(?= )", " $1^"), F.lit("^ "), F.lit("^"))
     df = df.withColumn(words, F.split(F.trim(marked), " "))
     after = lambda i, k: F.substring_index(F.get(F.col(words), i + k), "^", -1)
     short = lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     hashed = lambda w, i: short(F.xxhash64(w, *[after(i, k) for k in range(1, chain)]))
     spots = F.transform(
         F.filter(
-            F.transform(F.col(words), lambda w, i: F.when(w.contains("^"), F.struct(w.alias("w"), i.alias("i")))),
+            F.transform(F.col(words), lambda w, i: F.when(w.contains("^"), F.struct(F.substring_index(w, "^", -2).alias("w"), i.alias("i")))),
             lambda x: x.isNotNull(),
         ),
         lambda x: hashed(x["w"], x["i"]),
