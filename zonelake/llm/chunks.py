@@ -92,7 +92,8 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     copies = stage(chunks.join(often.select("h1", "h2"), ["h1", "h2"]), "copies")
     asked = copies.groupBy(F.col("id").alias("i"), F.col("tk").alias("k")).agg(F.collect_list("first").alias("wanted"))
     met = (F.col("tk") == F.col("k")) & F.col("id").eqNullSafe(F.col("i"))
-    bodies = chunk_rows(slim.join(asked, met).select("id", "tk", "text", "wanted"), True, least)
+    # Both tables grow with the documents, so neither is ever broadcast.
+    bodies = chunk_rows(slim.join(asked.hint("merge"), met).select("id", "tk", "text", "wanted"), True, least)
     # Byte comparison: one body for each hash, or the chunks stay.
     same = bodies.groupBy("h1", "h2").agg(F.min("body").alias("x"), F.max("body").alias("y")).filter(F.col("x") == F.col("y"))
     order = F.struct(F.col("id").isNull(), "id", "tk", "first")
@@ -103,7 +104,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", lea
     carried = [f"c{i}" for i in range(len(docs.columns))]
     at = docs.columns.index(text)
     full = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, carried)], text_key(key, text).alias("tk"), F.col(key).alias("id"))
-    full = full.join(gone, met, "left").select(*carried, "gone")
+    full = full.join(gone.hint("merge"), met, "left").select(*carried, "gone")
     full = full.withColumn(f"c{at}", F.col(f"c{at}").cast("string"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
