@@ -31,9 +31,12 @@ class ShardIndex:
 
     def __init__(self, vectors: np.ndarray, collisions: float, candidates: float, seed: int = 7):
         self.vectors, self.rough, self.candidates = vectors, vectors.astype(np.float32), candidates
-        n, dims = vectors.shape
+        n, dims = vectors.shape[0], vectors.shape[1] + 1
         self.turn = np.linalg.qr(np.random.default_rng(seed).normal(size=(dims, dims)))[0]
-        points = vectors @ self.turn
+        # One more coordinate gives all vectors the same length, so the nearest has the largest inner product.
+        sizes = (vectors**2).sum(axis=1)
+        self.length = float(np.sqrt(sizes.max()))
+        points = np.column_stack([vectors, np.sqrt(np.maximum(sizes.max() - sizes, 0.0))]) @ self.turn
         order = np.argsort(points, axis=0, kind="stable").T
         self.sorted = np.ascontiguousarray(np.take_along_axis(points.T, order, 1))
         self.block = np.zeros((dims, n), np.uint8)
@@ -44,12 +47,13 @@ class ShardIndex:
 
     def collided(self, queries: np.ndarray, k: int) -> list[np.ndarray]:
         """For each query the rows that pass the threshold in the first windows in which enough of them do."""
-        n, dims = self.vectors.shape
+        n, dims = len(self.vectors), len(self.sorted)
         found: list[np.ndarray] = [np.arange(n)] * len(queries)
         wanted = int(self.candidates * n) + 2 * k
         if wanted >= n:  # a small shard: all rows
             return found
-        own, active, width = queries @ self.turn, np.arange(len(queries)), WIDTH
+        alike = queries * (self.length / np.sqrt((queries**2).sum(axis=1)))[:, None]
+        own, active, width = alike @ self.turn[:-1], np.arange(len(queries)), WIDTH
         kind = np.uint8 if dims < 256 else np.uint16
         for _ in range(STEPS):
             low, high = np.empty((2, dims, len(active)), np.int64)
