@@ -15,7 +15,7 @@ NON_WORD = r"[^a-zA-Z0-9_\s]"
     SELECT doc_id, trim(lower(regexp_replace(text, '{NON_WORD}', '', 'g')), ' ') AS text FROM documents
     WHERE length(trim(lower(regexp_replace(text, '{NON_WORD}', '', 'g')), ' ')) >= 30""")
 def clean_text(t):
-    clean = cleaning.normalise_text(t.spread("documents", "doc_id", "text"), ["text"])
+    clean = cleaning.normalise_text(t.documents.select("doc_id", "text"), ["text"])
     trimmed = cleaning.computed_once(cleaning.trim_text(clean, ["text"]), ["text"])
     return cleaning.min_length(trimmed, "text", 30)
 

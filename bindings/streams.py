@@ -164,6 +164,19 @@ def typed_dispatch(t):
     return wide.groupBy("event", "user_id", "amount", "target").agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("""
+    SELECT 'unknown type' AS reason, event_type AS event, COUNT(*) AS n FROM events
+    WHERE event_type NOT IN ('purchase', 'error') GROUP BY ALL
+    UNION ALL SELECT 'malformed or without type', NULL, COUNT(*) FROM events WHERE event_type = 'error' HAVING COUNT(*) > 0""")
+def dispatch_rejects(t):
+    """Messages that the dispatch by type doesn't return: other types, and those that lost their opening brace."""
+    whole = F.to_json(F.struct(F.col("event_type").alias("event"), "user_id"))
+    value = F.when(F.col("event_type") == "error", F.substring(whole, 2, 1000)).otherwise(whole)
+    rejected = feeds.rejected_events(t.events.select(value.alias("value")), {"purchase": "event STRING, user_id BIGINT"})
+    event = F.get_json_object("value", "$.event").alias("event")
+    return rejected.groupBy("reason", event).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""
     SELECT 'quotes' AS topic, event_type AS symbol, NULL::VARCHAR AS s, COUNT(*) AS n FROM events WHERE event_type <> 'view' GROUP BY ALL
     UNION ALL SELECT 'trades', NULL, event_type, COUNT(*) FROM events WHERE event_type = 'view' GROUP BY ALL""")

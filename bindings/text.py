@@ -33,7 +33,7 @@ def _top_terms(df, key):
 
 @query(_terms_sql("documents", "doc_id"))
 def top_terms(t):
-    return _top_terms(t.spread("documents", "doc_id", "text"), "doc_id")
+    return _top_terms(t.documents.select("doc_id", "text"), "doc_id")
 
 
 @query(_terms_sql("benchmark", "item_id"))
@@ -45,7 +45,7 @@ def top_terms_short(t):
     SELECT doc_id, term, CAST(COUNT(*) AS INT) AS n
     FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '{PATTERN}', 0)) AS term FROM documents) GROUP BY ALL""")
 def term_counts(t):
-    return t.spread("documents", "doc_id", "text").select("doc_id", F.inline(text.term_counts(text.words("text", PATTERN))))
+    return t.documents.select("doc_id", "text").select("doc_id", F.inline(text.term_counts(text.words("text", PATTERN))))
 
 
 @query(f"""
@@ -60,6 +60,6 @@ def lexicon_sentiment(t):
     lexicon = t.spark.createDataFrame(LEXICON, "term STRING, valence DOUBLE").withColumn(
         "valence", F.col("valence").cast("decimal(9,1)")
     )
-    return analysis.lexicon_sentiment(t.spread("documents", "doc_id", "text"), "doc_id", "text", lexicon, PATTERN).withColumn(
+    return analysis.lexicon_sentiment(t.documents.select("doc_id", "text"), "doc_id", "text", lexicon, PATTERN).withColumn(
         "score", F.round("score", 9)
     )

@@ -83,7 +83,7 @@ def test_newer_than(spark, rows):
     df = spark.createDataFrame([(1,), (2,), (3,)], "y INT")
     assert rows(filters.newer_than(df, df.filter("y < 3"), "y")) == [(3,)]
     assert rows(filters.newer_than(df, df.limit(0), "y")) == [(1,), (2,), (3,)]
-    assert filters.first_entries(df, ["y"], 2).count() == 2 and filters.first_entries(df, ["y"], 2, everything=True).count() == 3
+    assert filters.first_entries(df, ["y"], 2).count() == 2 and filters.first_entries(df, ["y"]).count() == 3
 
 
 def test_months_back_includes_both_days(spark, rows):

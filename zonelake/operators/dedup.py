@@ -53,13 +53,14 @@ def exclude_existing(
     if range_column:
         history = within_key_range(history, df, range_column)
     if not null_safe:
-        return df.join(history.select(*keys), keys, "left_anti")
+        return df.join(history.select(*keys).distinct(), keys, "left_anti")
     # Struct equality compares NULL fields as equal, so one ordinary equi-join is null-safe.
     return _anti_on_struct(df.withColumn(_KEY, F.struct(*keys)), history, keys).drop(_KEY)
 
 
 def _anti_on_struct(df: DataFrame, history: DataFrame, keys: list[str]) -> DataFrame:
-    return df.join(history.select(F.struct(*keys).alias(_KEY)), _KEY, "left_anti")
+    # Distinct, so that a key with many rows of history is combined before the shuffle.
+    return df.join(history.select(F.struct(*keys).alias(_KEY)).distinct(), _KEY, "left_anti")
 
 
 def deduplicate(

@@ -9,14 +9,20 @@ from pyspark.sql import functions as F
 
 
 def newer_than(df: DataFrame, loaded: DataFrame, column: str) -> DataFrame:
-    """High-water mark: rows above the largest loaded value; all rows when nothing is loaded yet."""
-    mark = loaded.agg(F.max(column)).scalar()
-    return df.filter(mark.isNull() | (F.col(column) > mark))
+    """High-water mark: rows above the largest loaded value; all rows when nothing is loaded yet.
+
+    The condition is a plain comparison with one scalar, so it reaches the scan.  With nothing loaded it is not there.
+    """
+    mark = loaded.agg(F.max(column).alias("mark"))
+    if mark.filter(F.col("mark").isNotNull()).isEmpty():
+        return df
+    return df.filter(F.col(column) > mark.scalar())
 
 
 def last_years(df: DataFrame, column: str = "year", years: int = 25) -> DataFrame:
     """Rows with ``column >= max(column) - years``."""
-    return df.filter(F.col(column) >= df.agg(F.max(column)).scalar() - years)
+    # Subtracted inside the subquery, so that the scan gets one value to compare with.
+    return df.filter(F.col(column) >= df.agg(F.max(column) - years).scalar())
 
 
 def months_back(df: DataFrame, column: str, as_of: datetime.date | str, months: int = 6) -> DataFrame:
@@ -31,9 +37,9 @@ def months_back(df: DataFrame, column: str, as_of: datetime.date | str, months:
     return df.filter((F.col(column) >= first.cast(kind)) & (F.col(column) < after.cast(kind)))
 
 
-def first_entries(df: DataFrame, order_by: list[str], n: int = 10, everything: bool = False) -> DataFrame:
-    """Small mode takes the first ``n`` source entries, big mode takes everything."""
-    return df if everything else df.orderBy(*order_by).limit(n)
+def first_entries(df: DataFrame, order_by: list[str], n: int | None = None) -> DataFrame:
+    """Big mode, the default, takes everything; small mode takes the first ``n`` source entries."""
+    return df if n is None else df.orderBy(*order_by).limit(n)
 
 
 def nested_series(df: DataFrame, values: str, indicator: Column, country: Column, name: str = "series") -> DataFrame:
@@ -53,6 +59,9 @@ def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFram
 
 
 def split_by_membership(df: DataFrame, members: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
-    """(rows whose value is in ``members``, all other rows).  NULL values are in the second part."""
-    listed = members.select(F.col(members.columns[0]).alias(column)).dropna()
+    """(rows whose value is in ``members``, all other rows).  NULL values are in the second part.
+
+    Members are made distinct, which combines a frequent one before the shuffle.
+    """
+    listed = members.select(F.col(members.columns[0]).alias(column)).dropna().distinct()
     return df.join(listed, column, "left_semi"), df.join(listed, column, "left_anti")

@@ -132,8 +132,10 @@ def ledger_path(base: str, dataset: Dataset) -> str:
 def _staged(spark: SparkSession, base: str, dataset: Dataset) -> DataFrame | None:
     try:
         df = spark.read.option("mergeSchema", "true").parquet(f"{dataset.trusted_root(base)}/data")
-    except AnalysisException:  # no batch was ever staged
-        return None
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None  # no batch was ever staged
     kinds = {BATCH: "string", SNAPSHOT: "string", FILE_OK: "boolean"}  # partition values, read from folder names
     return df.withColumns({name: F.col(name).cast(kind) for name, kind in kinds.items()})
 
@@ -283,7 +285,7 @@ def migrate(spark: SparkSession, base: str, dataset: Dataset, probe=probe_object
             good = pending if failed is None else pending[: pending.index(failed)]
             _settle(spark, base, dataset, found, good, failed)
         except Exception as problem:
-            audit([(name, stamp, False, str(problem)[:2000], *[None] * 7) for name in pending])
+            audit([(name, stamp, False, str(problem), *[None] * 7) for name in pending])
             raise
         settled = good if failed is None else [*good, failed]
         audit(_audit_rows(found, settled, stamp))

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings the operators rely on.  All can be changed on a running session.
 RUNTIME_CONF = {
@@ -38,23 +37,8 @@ def build_session(app: str = "zonelake", master: str | None = None, conf: dict[s
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder for written intermediates and stream checkpoints.
 
-    It lies under ``spark.checkpoint.dir``, which every executor must be able to reach.  Only a local session may go
-    without that setting; it gets a temporary folder.
+    It lies under ``spark.checkpoint.dir``, or without that setting in a folder of the warehouse; executors have to be
+    able to reach either.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
-        base = tempfile.mkdtemp(prefix="zonelake-")
-        spark.conf.set("spark.checkpoint.dir", base)
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
     return os.path.join(base, "zonelake", f"{name}-{uuid.uuid4().hex}")
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Spread the rows of a small scan over all cores before costly per-row work.
-
-    Spark reads a small file in one or a few tasks.  A scan with at least one task per core is spread already and
-    stays as it is, so a large table is never shuffled for this.  ``df`` is a plain scan or projection.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df

@@ -73,7 +73,9 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
 
     try:
         return spark.read.schema(LEDGER_SCHEMA).parquet(ledger)
-    except AnalysisException:  # nothing written yet
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], LEDGER_SCHEMA)
 
 

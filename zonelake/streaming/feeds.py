@@ -90,10 +90,33 @@ def dispatch_events(df: DataFrame, schemas: dict[str, str], event_field: str = "
     )
 
 
+def rejected_events(df: DataFrame, schemas: dict[str, str], event_field: str = "event") -> DataFrame:
+    """What :func:`dispatch_events` does not return: the message as it came, with ``reason``."""
+    event = F.get_json_object(F.col("value").cast("string"), f"$.{event_field}")
+    reason = F.when(event.isNull(), "malformed or without type").when(~event.isin(*schemas), "unknown type")
+    return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+
+
 def dispatch_topics(df: DataFrame, schemas: dict[str, str]) -> DataFrame:
-    """Rows of several topics, each parsed with its own schema, united by column name (``topic`` is kept)."""
-    branches = [parse_messages(df.filter(F.col("topic") == topic), ddl, ["topic"]) for topic, ddl in schemas.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), branches)
+    """Rows of several topics, each parsed with its own schema, united by column name (``topic`` is kept).
+
+    One scan serves all topics: each row is parsed with the schema of its topic.  Rows of other topics are in
+    :func:`rejected_topics`.
+    """
+    parsed = {t: parse_ddl(ddl) for t, ddl in schemas.items()}
+    structs = {t: F.when(F.col("topic") == t, F.from_json(F.col("value").cast("string"), s)) for t, s in parsed.items()}
+    names = {f"_d{i}": t for i, t in enumerate(structs)}
+    rows = df.filter(F.col("topic").isin(*schemas)).select("topic", *[structs[t].alias(c) for c, t in names.items()])
+    fields: dict[str, list[Column]] = {}
+    for c, t in names.items():
+        for name in parsed[t].names:
+            fields.setdefault(name, []).append(F.col(f"{c}.`{name}`"))
+    return rows.select("topic", *[F.coalesce(*found).alias(name) for name, found in fields.items()])
+
+
+def rejected_topics(df: DataFrame, schemas: dict[str, str]) -> DataFrame:
+    """Rows of topics without a schema, as they came."""
+    return df.filter(F.col("topic").isNull() | ~F.col("topic").isin(*schemas))
 
 
 def trades_as_quotes(trades: DataFrame) -> DataFrame:

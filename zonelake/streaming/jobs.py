@@ -38,8 +38,19 @@ def score_topic(
     rules: list[scoring.RiskRule] | None = None,
     threshold: float = scoring.KYC_THRESHOLD,
     available_now: bool = False,
+    rejects: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
-    """Topic -> typed events -> risk score -> every output, all from one query."""
-    events = feeds.parse_messages(messages, get_schema(datasource))
-    scored = scoring.score_events(events, scoring.KYC_RULES if rules is None else rules, threshold)
-    return sinks.fan_out(scored, outputs, checkpoint, available_now)
+    """Topic -> typed events -> risk score -> every output, all from one query.
+
+    Messages from which nothing can be read are not scored; they go to ``rejects`` as they came.
+    """
+    schema = get_schema(datasource)
+
+    def scored(batch: DataFrame) -> DataFrame:
+        events = feeds.parse_messages(batch, schema).dropna(how="all")
+        return scoring.score_events(events, scoring.KYC_RULES if rules is None else rules, threshold)
+
+    sends = [lambda batch, epoch, send=send: send(scored(batch), epoch) for send in outputs]
+    if rejects:
+        sends.append(lambda batch, epoch: rejects(feeds.dead_letters(batch, schema), epoch))
+    return sinks.fan_out(messages, sends, checkpoint, available_now)

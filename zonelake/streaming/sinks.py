@@ -30,8 +30,11 @@ def to_table(
     """Write each micro-batch to its own partition ``epoch_id``; a repeated epoch replaces itself.
 
     With ``complete`` each epoch holds the whole result: read it with :func:`latest_epoch`.  With ``append`` the table
-    is the union of the epochs: read it with :func:`all_epochs`.
+    is the union of the epochs: read it with :func:`all_epochs`.  ``update`` is refused: no reader of epochs can tell
+    which version of a row is the last.
     """
+    if mode == "update":
+        raise ValueError("epochs hold whole results or new rows; use 'append' or 'complete'")
 
     def write(batch: DataFrame, epoch: int) -> None:
         writer = batch.write.format(fmt).mode("overwrite")
