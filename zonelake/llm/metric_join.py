@@ -10,9 +10,10 @@ document is the pivot, distances to it are computed exactly, and the triangle in
 * otherwise rings of width e around the pivot are the new regions, and each ring is replicated to the one before it,
   as only documents of the same or of neighbouring rings can be within e of each other.
 
-Regions with documents of one component only are done; the others are joined again with new pivots, small ones pair by
-pair.  Profiles, short vectors of counts whose distance bounds that of the sets from below, spare most pairs that do not
-link their texts.  Documents with equal sets are one vertex.
+Large first regions that have the same pivot are one region.  Regions with documents of one component only are done; the
+others are joined again with new pivots, small ones pair by pair.  A pair of a first region needs room behind the places
+of its shingle, and sets differ by at least the parities in which they differ; profiles, vectors of counts whose distance
+bounds that of the sets from below, spare most of the other pairs their texts.  Documents with equal sets are one vertex.
 """
 
 from __future__ import annotations
@@ -34,6 +35,8 @@ WORDS, PERCENT = 5, 80
 COUNTERS, COMMON_ROWS, COMMON, MARKS = 1 << 23, 3, 1 << 20, 1 << 24
 #: Groups of shingles that a set's profile counts: what two profiles differ by, the sets differ by at least.
 GROUPS = 128
+#: Groups of shingles of which a set has an even or odd number, as the bits of these columns.
+PARITIES = ["odd0", "odd1", "odd2", "odd3"]
 #: Documents of a region that is joined pair by pair; levels of rings before larger ones are joined in such blocks.
 LEAF, LEVELS = 128, 2
 
@@ -96,6 +99,12 @@ def profile(shingles: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """Whether each group has an odd number of shingles, 64 groups to a long."""
+    counts = np.bincount((shingles & np.uint64(64 * len(PARITIES) - 1)).astype(np.int64), minlength=64 * len(PARITIES))
+    return np.packbits((counts & 1).astype(np.uint8)).view(np.int64)
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1
 
@@ -105,7 +114,7 @@ def _sets_of(part: pa.RecordBatch, words: int) -> list[np.ndarray]:
 
 
 def describe(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFrame, DataFrame]:
-    """(rows, common): per row id, tk, n, sig and, once for each set of a task, its profile; and shingles that several
+    """(rows, common): per row id, tk, n, sig and, once for each set of a task, its profile and parities; and shingles that several
     documents of one task have, with their counts."""
     slim = docs.select(F.col(key).alias("id"), text_key(key, text).alias("tk"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     kind = slim.schema["id"].dataType.simpleString()
@@ -118,12 +127,13 @@ def describe(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFram
             for part in slices(batch, "text"):
                 sets = _sets_of(part, words)
                 sigs = [signature(s) for s in sets]
-                fresh, profiles = [], []
-                for g, s in zip(sigs, sets):
+                fresh, profiles, odd = [], [], np.zeros((len(sets), len(PARITIES)), np.int64)
+                for i, (g, s) in enumerate(zip(sigs, sets)):
                     new = len(s) > 0 and g not in seen
                     profiles.append(profile(s) if new else None)
                     if new:
                         seen.add(g)
+                        odd[i] = parities(s)
                         fresh.append(s)
                 if fresh:
                     every = np.concatenate(fresh)
@@ -134,21 +144,22 @@ def describe(docs: DataFrame, key: str, text: str, words: int) -> tuple[DataFram
                 ids = part.column("id")
                 none = pa.nulls(len(part), pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [ids, part.column("tk"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), pa.array(profiles, pa.binary()), none, none],
-                    names=["id", "tk", "n", "sig", "profile", "shingle", "count"],
+                    [ids, part.column("tk"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), pa.array(profiles, pa.binary()), none, none, *map(pa.array, odd.T.copy())],
+                    names=["id", "tk", "n", "sig", "profile", "shingle", "count", *PARITIES],
                 )
         if common:
             found = np.fromiter(common, np.uint64, len(common))
             counts = counters[(found >> shift).astype(np.int64)].astype(np.int64)
             none = pa.nulls(len(found), pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(len(found), ids.type), none, none, none, pa.nulls(len(found), pa.binary()), pa.array(signed(found)), pa.array(counts)],
-                names=["id", "tk", "n", "sig", "profile", "shingle", "count"],
+                [pa.nulls(len(found), ids.type), none, none, none, pa.nulls(len(found), pa.binary()), pa.array(signed(found)), pa.array(counts), *[none] * len(PARITIES)],
+                names=["id", "tk", "n", "sig", "profile", "shingle", "count", *PARITIES],
             )
 
-    made = slim.mapInArrow(run, f"id {kind}, tk long, n long, sig long, profile binary, shingle long, count long")
+    odd = "".join(f", {c} long" for c in PARITIES)
+    made = slim.mapInArrow(run, f"id {kind}, tk long, n long, sig long, profile binary, shingle long, count long{odd}")
     made = stage(made, "shingle-sets")
-    return made.filter(F.col("shingle").isNull()).select("id", "tk", "n", "sig", "profile"), made.filter(F.col("shingle").isNotNull())
+    return made.filter(F.col("shingle").isNull()).select("id", "tk", "n", "sig", "profile", *PARITIES), made.filter(F.col("shingle").isNotNull())
 
 
 def common_marks(common: DataFrame) -> np.ndarray:
@@ -161,7 +172,7 @@ def common_marks(common: DataFrame) -> np.ndarray:
 
 
 def first_regions(docs: DataFrame, text: str, words: int, percent: int, marks: np.ndarray) -> DataFrame:
-    """(region, sig, n): every set of a task once, in the regions of its first shingles."""
+    """(region, sig, n, place): every set of a task once, in the regions of its first shingles, the first at place 0."""
     slim = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
     shipped = docs.sparkSession.sparkContext.broadcast(marks)  # MARKS / 8 bytes
 
@@ -170,7 +181,7 @@ def first_regions(docs: DataFrame, text: str, words: int, percent: int, marks: n
         shift = np.uint64(64 - MARKS.bit_length() + 1)
         for batch in batches:
             for part in slices(batch, "text"):
-                regions, sigs, sizes = [], [], []
+                regions, sigs, sizes, places = [], [], [], []
                 for s in _sets_of(part, words):
                     if not len(s):
                         continue
@@ -186,13 +197,14 @@ def first_regions(docs: DataFrame, text: str, words: int, percent: int, marks: n
                     regions.append(rare)
                     sigs.append(np.full(len(rare), g, np.int64))
                     sizes.append(np.full(len(rare), len(s), np.int64))
+                    places.append(np.arange(len(rare), dtype=np.int64))
                 if regions:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(signed(np.concatenate(regions))), pa.array(np.concatenate(sigs)), pa.array(np.concatenate(sizes))],
-                        names=["region", "sig", "n"],
+                        [pa.array(signed(np.concatenate(regions))), *(pa.array(np.concatenate(x)) for x in (sigs, sizes, places))],
+                        names=["region", "sig", "n", "place"],
                     )
 
-    return slim.mapInArrow(run, "region long, sig long, n long")
+    return slim.mapInArrow(run, "region long, sig long, n long, place long")
 
 
 def plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
@@ -237,18 +249,28 @@ def _sized(percent: int, x: str = "n", y: str = "m"):
 
 
 def _open_regions(regions: DataFrame, known: DataFrame) -> DataFrame:
-    """Regions (region, sig, n) whose documents are of more than one component, with their component c."""
-    found = regions.join(known, regions["sig"] == known["v"], "left").select("region", "sig", "n", F.coalesce("c", "sig").alias("c"))
+    """Regions (region, sig, n, place) whose documents are of more than one component, with their component c."""
+    found = regions.join(known, regions["sig"] == known["v"], "left").select("region", "sig", "n", "place", F.coalesce("c", "sig").alias("c"))
     span = found.groupBy("region").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size"))
     return found.join(span.filter(F.col("low") != F.col("high")).select("region", "size"), "region")
 
 
-def _pairs_of(regions: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of one region and different components whose sizes allow the likeness."""
-    x = regions.select("region", F.col("sig").alias("a"), "n", F.col("c").alias("ca"))
-    y = regions.select(F.col("region").alias("r"), F.col("sig").alias("b"), F.col("n").alias("m"), F.col("c").alias("cb"))
+def _pairs_of(regions: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of one region and different components whose sizes, places and parities allow the likeness.
+
+    A linked pair passes in the region of its first common shingle, behind which all the others lie in both sets.
+    """
+    marked = regions.select("region", "sig", "n", "place", "c").join(profiles.select("sig", *PARITIES), "sig")
+    x = marked.select("region", F.col("sig").alias("a"), "n", F.col("place").alias("i"), F.col("c").alias("ca"), *PARITIES)
+    y = marked.select(
+        F.col("region").alias("r"), F.col("sig").alias("b"), F.col("n").alias("m"), F.col("place").alias("j"),
+        F.col("c").alias("cb"), *[F.col(c).alias(f"{c}_b") for c in PARITIES],
+    )
     met = (F.col("region") == F.col("r")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sized(percent)
-    return x.join(y, met).select("a", "b")
+    total = F.col("n") + F.col("m")
+    room = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) * (100 + percent) >= total * percent
+    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in PARITIES), F.lit(0))
+    return x.join(y, met & room & ((total - apart) * 100 >= (total + apart) * percent)).select("a", "b")
 
 
 def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str, text: str, words: int, percent: int, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
@@ -263,17 +285,17 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
     shared = entries.filter(
         (F.col("next").isNull() | (F.col("next") != F.col("sig"))) & ((F.col("pivot") != F.col("sig")) | F.col("next").isNotNull())
     )
-    regions = stage(shared.select("region", "sig", "n", "pivot", "m"), "regions")
-    profiles = stage(rows.filter(F.col("profile").isNotNull()).select("sig", "n", "profile").dropDuplicates(["sig"]), "profiles")
+    regions = stage(shared.select("region", "sig", "n", "place", "pivot", "m"), "regions")
+    profiles = stage(rows.filter(F.col("profile").isNotNull()).select("sig", "n", "profile", *PARITIES).dropDuplicates(["sig"]), "profiles")
 
     # Level 1: each document with the pivot that it meets most often, its nearest as far as the regions tell.
     stars = regions.filter((F.col("pivot") != F.col("sig")) & _sized(percent)).groupBy("sig", "pivot").count()
     nearest = stars.groupBy("sig").agg(F.max(F.struct("count", "pivot")).alias("x")).select(F.col("sig").alias("a"), F.col("x.pivot").alias("b"))
     nearest = stage(plausible(nearest, profiles, percent), "nearest")
     # If all of these were links: what could link besides?  So the texts are fetched once for all levels.
-    guessed = _open_regions(regions.select("region", "sig", "n"), components(nearest))
+    guessed = _open_regions(regions.select("region", "sig", "n", "place"), components(nearest))
     guessed = stage(guessed, "open-regions")
-    besides = _pairs_of(guessed.filter(F.col("size") <= leaf), percent).distinct()
+    besides = _pairs_of(guessed.filter(F.col("size") <= leaf), profiles, percent).distinct()
     pairs = stage(nearest.unionByName(plausible(besides, profiles, percent)), "pairs")
     needed = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig")))
     needed = needed.unionByName(guessed.filter(F.col("size") > leaf).select("sig")).distinct()
@@ -287,7 +309,7 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
     near = F.col("shared") * 100 >= F.col("united") * percent
     known = components(checked.filter(near))
 
-    regions = regions.select(F.xxhash64(F.lit(0), "region").alias("region"), "sig", "n")
+    regions = regions.select(F.xxhash64(F.lit(0), "region").alias("region"), "sig", "n", "place")
     e, level = (100 - percent) / 100, 0
     while True:
         level += 1
@@ -298,11 +320,14 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
         small = regions if last else regions.filter(F.col("size") <= leaf)
         large = regions.filter(F.col("size") > leaf)
         # Small regions pair by pair; when rings no longer part them, larger ones in blocks of so many documents.
-        pairs = plausible(_pairs_of(small, percent).distinct(), profiles, percent)
+        pairs = plausible(_pairs_of(small, profiles, percent).distinct(), profiles, percent)
         if not last:
             first = W.partitionBy("region").orderBy("sig")
             large = large.withColumns({"pivot": F.first("sig").over(first), "m": F.first("n").over(first)})
-            large = stage(large.select("region", "sig", "n", "pivot", "m"), "large-regions")
+            large = large.select("region", "sig", "n", "pivot", "m")
+            if level == 1:
+                large = large.withColumn("region", F.xxhash64(F.lit("pivot"), "pivot")).distinct()
+            large = stage(large, "large-regions")
             others = large.filter(F.col("sig") != F.col("pivot"))
             pairs = pairs.unionByName(others.select(F.least("sig", "pivot").alias("a"), F.greatest("sig", "pivot").alias("b")))
         seen = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
@@ -322,7 +347,7 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
         outer = F.floor(F.col("d") / e + 1e-9).cast("int")
         ring = F.explode(F.array_distinct(F.array(inner - 1, inner, outer - 1, outer))).alias("ring")
         ringed = placed.select("region", "sig", "n", ring).filter(F.col("ring") >= 0)
-        regions = ringed.select(F.xxhash64(F.lit(level), "region", "ring").alias("region"), "sig", "n")
+        regions = ringed.select(F.xxhash64(F.lit(level), "region", "ring").alias("region"), "sig", "n", F.lit(0).cast("long").alias("place"))
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
