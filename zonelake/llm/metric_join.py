@@ -11,7 +11,9 @@ document is the pivot, distances to it are computed exactly, and the triangle in
   as only documents of the same or of neighbouring rings can be within e of each other.
 
 Large first regions that have the same pivot are one region.  Regions with documents of one component only are done; the
-others are joined again with new pivots, small ones pair by pair.  A pair of a first region needs room behind the places
+others are joined again with new pivots, small ones pair by pair.  Regions that rings no longer part are first walked in
+a few random orders, where documents of different components that follow each other are compared: a group of near copies
+is then mostly one component, and only pairs of documents that are still apart remain.  A pair of a first region needs room behind the places
 of its shingle, and sets differ by at least the parities in which they differ; profiles, vectors of counts whose distance
 bounds that of the sets from below, spare most of the other pairs their texts.  Documents with equal sets are one vertex.
 """
@@ -37,8 +39,9 @@ COUNTERS, COMMON_ROWS, COMMON, MARKS = 1 << 23, 3, 1 << 20, 1 << 24
 GROUPS = 128
 #: Groups of shingles of which a set has an even or odd number, as the bits of these columns.
 PARITIES = ["odd0", "odd1", "odd2", "odd3"]
-#: Documents of a region that is joined pair by pair; levels of rings before larger ones are joined in such blocks.
-LEAF, LEVELS = 128, 2
+#: Documents of a region that is joined pair by pair; levels of rings before larger ones are joined so, too; orders in
+#: which these are walked before.
+LEAF, LEVELS, WALKS = 128, 2, 3
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -273,9 +276,17 @@ def _pairs_of(regions: DataFrame, profiles: DataFrame, percent: int) -> DataFram
     return x.join(y, met & room & ((total - apart) * 100 >= (total + apart) * percent)).select("a", "b")
 
 
+def _walk(regions: DataFrame, percent: int, turn: int) -> DataFrame:
+    """Pairs (a < b) of different components and fitting sizes that follow each other in a random order of their region."""
+    by = W.partitionBy("region").orderBy(F.xxhash64(F.lit(turn), "sig"), "sig")
+    met = regions.withColumns({"b": F.lag("sig").over(by), "m": F.lag("n").over(by), "cb": F.lag("c").over(by)})
+    met = met.filter((F.col("c") != F.col("cb")) & _sized(percent))
+    return met.select(F.least("sig", "b").alias("a"), F.greatest("sig", "b").alias("b"))
+
+
 def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str, text: str, words: int, percent: int, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
-    """Links (a, b, shared, united) between sets that join the same sets into components as all links of likeness
-    ``percent`` / 100 or more do; every link is computed exactly."""
+    """(v, c): every linked set with the smallest of its component.  Sets of likeness ``percent`` / 100 or more link; every
+    link is computed exactly."""
     entries = first_regions(docs, text, words, percent, common_marks(common))
     by = W.partitionBy("region").orderBy("sig")
     entries = entries.withColumns({
@@ -309,35 +320,38 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
     near = F.col("shared") * 100 >= F.col("united") * percent
     known = components(checked.filter(near))
 
+    def compare(pairs: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
+        """(checked, known, whether a link is new) with the pairs that were not compared before."""
+        seen = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        fresh = stage(distances(pairs.distinct().join(seen, ["a", "b"], "left_anti"), pool, words), "distances")
+        links = fresh.filter(near).select("a", "b")
+        if links.isEmpty():
+            return checked.unionByName(fresh), known, False
+        # A component needs no more than the links to its smallest vertex.
+        trees = known.select(F.col("v").alias("a"), F.col("c").alias("b"))
+        return checked.unionByName(fresh), components(trees.unionByName(links)), True
+
     regions = regions.select(F.xxhash64(F.lit(0), "region").alias("region"), "sig", "n", "place")
     e, level = (100 - percent) / 100, 0
     while True:
         level += 1
         regions = stage(_open_regions(regions, known), "open-regions")
         if regions.isEmpty():
-            return checked.filter(near)
-        last = level > levels
-        small = regions if last else regions.filter(F.col("size") <= leaf)
-        large = regions.filter(F.col("size") > leaf)
-        # Small regions pair by pair; when rings no longer part them, larger ones in blocks of so many documents.
+            return known
+        if level > levels:
+            break
+        # Small regions pair by pair, large ones by pivots.
+        small, large = regions.filter(F.col("size") <= leaf), regions.filter(F.col("size") > leaf)
         pairs = plausible(_pairs_of(small, profiles, percent).distinct(), profiles, percent)
-        if not last:
-            first = W.partitionBy("region").orderBy("sig")
-            large = large.withColumns({"pivot": F.first("sig").over(first), "m": F.first("n").over(first)})
-            large = large.select("region", "sig", "n", "pivot", "m")
-            if level == 1:
-                large = large.withColumn("region", F.xxhash64(F.lit("pivot"), "pivot")).distinct()
-            large = stage(large, "large-regions")
-            others = large.filter(F.col("sig") != F.col("pivot"))
-            pairs = pairs.unionByName(others.select(F.least("sig", "pivot").alias("a"), F.greatest("sig", "pivot").alias("b")))
-        seen = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        pairs = stage(pairs.distinct().join(seen, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty() and (last or large.isEmpty()):
-            return checked.filter(near)
-        checked = stage(checked.unionByName(distances(pairs, pool, words)), "distances")
-        known = components(checked.filter(near))
-        if last:
-            return checked.filter(near)
+        first = W.partitionBy("region").orderBy("sig")
+        large = large.withColumns({"pivot": F.first("sig").over(first), "m": F.first("n").over(first)})
+        large = large.select("region", "sig", "n", "pivot", "m")
+        if level == 1:
+            large = large.withColumn("region", F.xxhash64(F.lit("pivot"), "pivot")).distinct()
+        large = stage(large, "large-regions")
+        others = large.filter(F.col("sig") != F.col("pivot"))
+        pairs = pairs.unionByName(others.select(F.least("sig", "pivot").alias("a"), F.greatest("sig", "pivot").alias("b")))
+        checked, known, _ = compare(pairs)
         apart = checked.select(
             F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), (1 - F.col("shared") / F.col("united")).alias("d")
         ).dropDuplicates(["x", "y"])
@@ -349,6 +363,15 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
         ringed = placed.select("region", "sig", "n", ring).filter(F.col("ring") >= 0)
         regions = ringed.select(F.xxhash64(F.lit(level), "region", "ring").alias("region"), "sig", "n", F.lit(0).cast("long").alias("place"))
 
+    for turn in range(WALKS):
+        checked, known, more = compare(plausible(_walk(regions, percent, turn).distinct(), profiles, percent))
+        if not more:
+            break
+        regions = stage(_open_regions(regions.select("region", "sig", "n", "place"), known), "open-regions")
+        if regions.isEmpty():
+            return known
+    return compare(plausible(_pairs_of(regions, profiles, percent).distinct(), profiles, percent))[1]
+
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """Per row: its id (under ``key``), text_key, n_shingles and component_id.
@@ -358,7 +381,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     a null id is never the smallest unless all of its component are null.  An empty table gives no rows.
     """
     rows, common = describe(docs, key, text, words)
-    known = components(similar_sets(docs, rows, common, key, text, words, percent))
+    known = similar_sets(docs, rows, common, key, text, words, percent)
     found = rows.filter(F.col("n") > 0).join(known, F.col("sig") == F.col("v"), "left").select("id", "tk", "n", F.coalesce("c", "sig").alias("c"))
     smallest = found.groupBy(F.col("c").alias("k")).agg(F.min("id").alias("component_id"))
     found = found.join(smallest, F.col("c") == F.col("k")).select("id", "tk", "n", "component_id")
