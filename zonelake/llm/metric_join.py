@@ -276,6 +276,47 @@ def _pairs_of(regions: DataFrame, profiles: DataFrame, percent: int) -> DataFram
     return x.join(y, met & room & ((total - apart) * 100 >= (total + apart) * percent)).select("a", "b")
 
 
+def _small_pairs(regions: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """As ``_pairs_of`` and ``plausible`` in one, for regions of a bounded number of documents: each is compared inside the
+    task that holds it, so that only plausible pairs leave the task."""
+    marked = regions.select("region", "sig", "n", "place", "c").join(profiles.select("sig", "profile"), "sig")
+    marked = marked.select("region", "sig", "n", "place", "c", "profile").repartition("region").sortWithinPartitions("region")
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        region, sig, n, place, c = (table.column(x).to_numpy() for x in ("region", "sig", "n", "place", "c"))
+        counts = np.frombuffer(b"".join(table.column("profile").to_pylist()), np.uint8).reshape(-1, GROUPS)
+        left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for step in range(1, len(sig)):
+            i = np.flatnonzero(region[step:] == region[:-step])
+            if not len(i):
+                break
+            j = i + step
+            total = n[i] + n[j]
+            fits = (sig[i] != sig[j]) & (c[i] != c[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)
+            fits &= np.minimum(n[i] - place[i], n[j] - place[j]) * (100 + percent) >= total * percent
+            i, j, total = i[fits], j[fits], total[fits]
+            apart = np.abs(counts[i].astype(np.int16) - counts[j]).sum(axis=1, dtype=np.int64)
+            fits = (total - apart) * 100 >= (total + apart) * percent
+            left.append(sig[i[fits]])
+            right.append(sig[j[fits]])
+        a, b = np.concatenate(left), np.concatenate(right)
+        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+            # The last region may go on in the next batch.
+            region = table.column("region").to_numpy()
+            cut = int(np.searchsorted(region, region[-1])) if len(region) else 0
+            rest = table.slice(cut)
+            yield pairs(table.slice(0, cut))
+        if rest is not None:
+            yield pairs(rest)
+
+    return marked.mapInArrow(run, "a long, b long").distinct()
+
+
 def _walk(regions: DataFrame, percent: int, turn: int) -> DataFrame:
     """Pairs (a < b) of different components and fitting sizes that follow each other in a random order of their region."""
     by = W.partitionBy("region").orderBy(F.xxhash64(F.lit(turn), "sig"), "sig")
@@ -306,8 +347,8 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
     # If all of these were links: what could link besides?  So the texts are fetched once for all levels.
     guessed = _open_regions(regions.select("region", "sig", "n", "place"), components(nearest))
     guessed = stage(guessed, "open-regions")
-    besides = _pairs_of(guessed.filter(F.col("size") <= leaf), profiles, percent).distinct()
-    pairs = stage(nearest.unionByName(plausible(besides, profiles, percent)), "pairs")
+    besides = _small_pairs(guessed.filter(F.col("size") <= leaf), profiles, percent)
+    pairs = stage(nearest.unionByName(besides), "pairs")
     needed = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig")))
     needed = needed.unionByName(guessed.filter(F.col("size") > leaf).select("sig")).distinct()
     # One row, and so one text, of each set.
@@ -342,7 +383,7 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
             break
         # Small regions pair by pair, large ones by pivots.
         small, large = regions.filter(F.col("size") <= leaf), regions.filter(F.col("size") > leaf)
-        pairs = plausible(_pairs_of(small, profiles, percent).distinct(), profiles, percent)
+        pairs = _small_pairs(small, profiles, percent)
         first = W.partitionBy("region").orderBy("sig")
         large = large.withColumns({"pivot": F.first("sig").over(first), "m": F.first("n").over(first)})
         large = large.select("region", "sig", "n", "pivot", "m")
