@@ -415,29 +415,30 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Per row: its id (under ``key``), text_key, n_shingles and component_id.
+    """Per row: its id (under ``key``), text_key, n_shingles, component_id and component.
 
     Rows link when 100 * shared >= percent * united shingles; component_id is the smallest id that links reach.  Rows
-    without words have no shingles and link with nothing.  Rows that repeat an id or a text are vertices like others;
+    without words have no shingles and link with nothing; their component is null.  Two components can have the same
+    smallest id (an id that repeats, or null), so ``component`` names them apart.  Rows that repeat an id or a text are vertices like others;
     a null id is never the smallest unless all of its component are null.  An empty table gives no rows.
     """
     rows, common = describe(docs, key, text, words)
     known = similar_sets(docs, rows, common, key, text, words, percent)
     found = rows.filter(F.col("n") > 0).join(known, F.col("sig") == F.col("v"), "left").select("id", "tk", "n", F.coalesce("c", "sig").alias("c"))
     smallest = found.groupBy(F.col("c").alias("k")).agg(F.min("id").alias("component_id"))
-    found = found.join(smallest, F.col("c") == F.col("k")).select("id", "tk", "n", "component_id")
-    bare = rows.filter(F.col("n") == 0).select("id", "tk", "n", F.col("id").alias("component_id"))
+    found = found.join(smallest, F.col("c") == F.col("k")).select("id", "tk", "n", "component_id", F.col("k").alias("component"))
+    bare = rows.filter(F.col("n") == 0).select("id", "tk", "n", F.col("id").alias("component_id"), F.lit(None).cast("long").alias("component"))
     return found.unionByName(bare).select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id", F.col("tk").alias("text_key")
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), "component_id", F.col("tk").alias("text_key"), "component"
     )
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """Rows of ``docs``, all columns: of each component the one with the smallest id; rows without words all stay."""
+    """Rows of ``docs``, all columns: of each component the one with the smallest id (null last); rows without words all stay."""
     rows = near_duplicates(docs, key, text, words, percent)
-    rows = rows.withColumns({"_id": F.col(key), "_tk": F.col("text_key")}).select("_id", "_tk", "n_shingles", "component_id")
+    rows = rows.withColumns({"_id": F.col(key), "_tk": F.col("text_key")}).select("_id", "_tk", "n_shingles", "component")
     full = rows.filter(F.col("n_shingles") > 0)
-    kept = full.filter(F.col("_id").eqNullSafe(F.col("component_id"))).groupBy("component_id").agg(F.min(F.struct("_id", "_tk")).alias("k"))
+    kept = full.groupBy("component").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_tk")).alias("k"))
     kept = kept.select(F.col("k._id").alias("_id"), F.col("k._tk").alias("_tk"), F.lit(True).alias("_once"))
     bare = rows.filter(F.col("n_shingles") == 0).select("_id", "_tk", F.lit(False).alias("_once")).distinct()
     carried = [f"c{i}" for i in range(len(docs.columns))]
