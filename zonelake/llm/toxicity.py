@@ -1,7 +1,8 @@
 """Toxicity by multiple-instance learning: documents are labelled, sentences are scored.
 
-A sentence's chance is logistic in its features (words and their beginnings); a document's is the noisy-or of its
-sentences.  Weights are fitted on the labels of documents alone, and then tell which sentences offend.
+A sentence's chance is logistic in its features (words and their beginnings); a document's is the noisy-or of one base
+chance for the whole text and of what the weighted words of its sentences add to the base.  A sentence without weighted
+words adds nothing, so a text is not toxic by its length.  Weights are fitted on the labels of documents alone, and then tell which sentences offend.
 """
 
 from __future__ import annotations
@@ -44,11 +45,14 @@ class Model:
 
 
 def fit(rows: list[tuple[int, int, list[list[int]]]], width: int, class_weights: tuple[float, float], steps: int = 400):
-    """Weights (not negative) and intercept that make noisy-or fit the labels.  rows: (label, sentences, features of those that have any)."""
+    """Weights (not negative) and intercept that make noisy-or fit the labels.  rows: (label, sentences, features of those that have any).
+
+    A document with sentences has the base chance once; each marked sentence counts relative to the base.
+    """
     doc, sent, feat, sentences = [], [], [], 0
     labels, others = np.array([r[0] for r in rows], float), np.zeros(len(rows))
     for d, (_, n, marked) in enumerate(rows):
-        others[d] = n - len(marked)
+        others[d] = min(n, 1) - len(marked)
         for s in marked:
             doc.append(d)
             feat += s
@@ -171,21 +175,23 @@ def score_texts(df: DataFrame, model: Model, text: str, keep: list[str]) -> Data
                 for t in part.column("text").to_pylist():
                     low = (t or "").lower()
                     telling = {w for w in set(WORD.findall(low)) if weight(w)}
-                    logs, n, worst = 0.0, 0, (-1.0, 0, 0)
+                    logs, n, worst = none, 0, (-1.0, 0, 0)
                     if not telling:
                         n = sum(1 for s in SENTENCE.findall(low) if not s.isspace())
-                        logs = n * none
                     else:
                         for s in SENTENCE.finditer(low):
                             if s.group().isspace():
                                 continue
                             n += 1
-                            z = model.base + sum(map(weight, telling.intersection(WORD.findall(s.group()))))
+                            found = telling.intersection(WORD.findall(s.group()))
+                            if not found:
+                                continue
+                            z = model.base + sum(map(weight, found))
                             p = 1 / (1 + np.exp(-z))
-                            logs += np.log1p(-min(p, 1 - 1e-12))
+                            logs += np.log1p(-min(p, 1 - 1e-12)) - none
                             if p > worst[0]:
                                 worst = (p, s.start(), s.end())
-                    out.append((float(-np.expm1(logs)), n, worst[1], worst[2], float(max(worst[0], 0.0))))
+                    out.append((float(-np.expm1(logs)) if n else 0.0, n, worst[1], worst[2], float(max(worst[0], 0.0))))
                 cols = list(zip(*out)) or [()] * 5
                 types = [pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.float64()]
                 yield pa.RecordBatch.from_arrays(
