@@ -1,7 +1,8 @@
 """Document fingerprints by spot signatures (DataFrame operations only).
 
 A spot is an anchor, one of the common words below or the start of the text, with the next content words: those that
-are no anchors.  A fingerprint is the sorted set of 31-bit hashes of a text's spots.  Sets are told apart by length
+are no anchors.  Where anchors are too far apart, every word between them is an anchor as well, so that the spots span all
+of a text in any language.  A fingerprint is the sorted set of 31-bit hashes of a text's spots.  Sets are told apart by length
 first: their Jaccard likeness is at most the smaller length over the larger one.
 """
 
@@ -22,6 +23,8 @@ ANCHORS = (
 )
 #: Content words of a spot.
 CHAIN = 2
+#: Words from one anchor to the next in which no other word becomes an anchor; in texts of few anchors ``CHAIN`` for each.
+GAP = 8
 #: Bounds of the ids that are looked up row by row, and rows that are put in order together.
 COARSE, RUN_ROWS, MOST_RUNS = 128, 2048, 65536
 _START = "\u0001"
@@ -30,10 +33,11 @@ _START = "\u0001"
 def with_spots(df: DataFrame, text: str, name: str, anchors=ANCHORS, chain: int = CHAIN) -> DataFrame:
     """Add array<int> ``name``: the sorted different spots of a text, all of it.  A null text counts as empty.
 
-    A text without letters and digits has one spot made of the text itself, so equal texts always have equal sets and
+    Between anchors more than ``GAP`` words apart (``chain`` for each anchor, if that is less) every word starts a spot,
+    so a text without common words has one for each of its words.  A text without letters and digits has one spot made of the text itself, so equal texts always have equal sets and
     no set is empty.
     """
-    words, whole = free_name(df, f"{name}_words"), F.coalesce(F.col(text), F.lit(""))
+    words, found, whole = free_name(df, f"{name}_words"), free_name(df, f"{name}_found"), F.coalesce(F.col(text), F.lit(""))
     marks = "|".join([_START, *sorted(anchors, key=lambda w: (-len(w), w))])
     plain = F.concat(F.lit(f" {_START} "), F.regexp_replace(F.lower(whole), r"[^\p{L}\p{N}]+", " "), F.lit(" "))
     plain = F.regexp_replace(plain, " +", " ")
@@ -43,16 +47,23 @@ def with_spots(df: DataFrame, text: str, name: str, anchors=ANCHORS, chain: int
     after = lambda i, k: F.substring_index(F.get(F.col(words), i + k), "^", -1)
     short = lambda x: x.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")
     hashed = lambda w, i: short(F.xxhash64(w, *[after(i, k) for k in range(1, chain)]))
-    spots = F.transform(
-        F.filter(
-            F.transform(F.col(words), lambda w, i: F.when(w.contains("^"), F.struct(F.substring_index(w, "^", -2).alias("w"), i.alias("i")))),
-            lambda x: x.isNotNull(),
-        ),
-        lambda x: hashed(x["w"], x["i"]),
+    anchored = F.filter(
+        F.transform(F.col(words), lambda w, i: F.when(w.contains("^"), F.struct(F.substring_index(w, "^", -2).alias("w"), i.alias("i")))),
+        lambda x: x.isNotNull(),
     )
+    df = df.withColumn(found, anchored)
+    widest = F.least(F.lit(GAP), F.size(found) * chain)
+    until = lambda k: F.coalesce(F.get(F.col(found), k + 1)["i"], F.size(words))
+    plain_word = lambda i: F.struct(F.get(F.col(words), i).alias("w"), i.alias("i"))
+    between = F.transform(
+        F.col(found),
+        lambda x, k: F.when(until(k) - x["i"] > widest, F.transform(F.sequence(x["i"] + 1, until(k) - 1), plain_word)),
+    )
+    between = F.flatten(F.filter(between, lambda x: x.isNotNull()))
+    spots = F.transform(F.concat(F.col(found), between), lambda x: hashed(x["w"], x["i"]))
     bare = F.col(words) == F.array(F.lit(f"{_START}^"))
     spots = F.when(bare, F.array(short(F.xxhash64(whole)))).otherwise(F.array_sort(F.array_distinct(spots)))
-    return df.withColumn(name, spots).drop(words)
+    return df.withColumn(name, spots).drop(words, found)
 
 
 def fingerprint(spots: Column) -> Column:
