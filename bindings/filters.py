@@ -39,17 +39,17 @@ def first_entries(t):
     SELECT n_nationkey, r_name, CAST(len(list(c_custkey)) AS INT) AS n FROM nation JOIN region ON n_regionkey = r_regionkey
     JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = 'BUILDING' AND c_acctbal > 9000 GROUP BY ALL""")
 def nested_lookup(t):
-    """Per nation a map segment -> (region -> customers); pick one path, skip what is empty."""
+    """Per nation a map segment -> (region -> number of customers); pick one path, skip what is empty."""
     rich = t.customer.filter("c_acctbal > 9000").groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
     placed = rich.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
         t.region, F.col("n_regionkey") == F.col("r_regionkey")
     )
-    repeated = F.array_repeat(F.lit(1), F.col("n").cast("int"))
+    counted = F.array(F.col("n").cast("int"))
     documents = placed.groupBy("n_nationkey", "r_name").agg(
-        F.map_from_entries(F.collect_list(F.struct("c_mktsegment", F.create_map("r_name", repeated)))).alias("values")
+        F.map_from_entries(F.collect_list(F.struct("c_mktsegment", F.create_map("r_name", counted)))).alias("values")
     )
     found = filters.nested_series(documents, "values", F.lit("BUILDING"), F.col("r_name"))
-    return found.select("n_nationkey", "r_name", F.size("series").alias("n"))
+    return found.select("n_nationkey", "r_name", F.get("series", 0).alias("n"))
 
 
 @query("""
