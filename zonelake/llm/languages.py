@@ -9,17 +9,20 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from zonelake.llm.common import slices, stage
 from zonelake.llm.urls import address_parts
 
-#: Texts with a known language that are fitted on, most languages told apart, and cells of the trigram table.
-SAMPLE_ROWS, MOST_LANGUAGES, CELLS = 4000, 32, 1 << 15
+#: Texts that are fitted on if there are few languages, texts of each language in any case, and cells of the trigram table.
+SAMPLE_ROWS, LEAST_SHARE, CELLS = 4000, 125, 1 << 15
 #: A text counts as so many trigrams at most, each with this weight: neighbouring trigrams are no independent evidence.
 MOST_TRIGRAMS, TRIGRAM_WEIGHT = 120, 0.1
 #: Pages that a suffix or the whole counts as in the prior of a host or a suffix.
@@ -43,23 +46,50 @@ def trigram_counts(text: str) -> np.ndarray:
     return np.bincount((key * np.uint32(2654435761)) >> np.uint32(17), minlength=CELLS)
 
 
+@dataclass
+class Trigrams:
+    """Log chances of trigram cells: ``floor`` of each language for cells it lacks, and what the cells that it has add.
+
+    ``start`` has the first entry of each cell in ``tongue`` and ``more``.
+    """
+
+    floor: np.ndarray
+    start: np.ndarray
+    tongue: np.ndarray
+    more: np.ndarray
+
+    def likelihoods(self, counts: np.ndarray) -> np.ndarray:
+        cells = np.flatnonzero(counts)
+        size = self.start[cells + 1] - self.start[cells]
+        times = np.repeat(counts[cells], size)
+        at = np.arange(len(times)) + np.repeat(self.start[cells] - np.cumsum(size) + size, size)
+        return self.floor * counts.sum() + np.bincount(self.tongue[at], self.more[at] * times, len(self.floor))
+
+
+def trigrams(tongue: np.ndarray, cell: np.ndarray, n: np.ndarray, languages: int) -> Trigrams:
+    """From the counts of each language and cell; every cell counts as half a trigram more."""
+    total = np.bincount(tongue, n, languages) + 0.5 * CELLS
+    order = np.argsort(cell, kind="stable")
+    start = np.zeros(CELLS + 1, np.int64)
+    start[1:] = np.cumsum(np.bincount(cell, minlength=CELLS))
+    return Trigrams(np.log(0.5 / total), start, tongue[order].astype(np.int32), np.log((n[order] + 0.5) / 0.5))
+
+
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", rows: int = SAMPLE_ROWS):
-    """Languages and their log chances of each trigram cell, from at most ``rows`` documents chosen by a hash of the id.
+    """All languages and their log chances of each trigram cell.
 
-    Tasks count, Spark adds up; the driver gets one table of languages by cells.
+    From at most ``rows`` documents chosen by a hash of the id, as many of each language; if that were fewer than
+    ``LEAST_SHARE``, from so many of each.  Tasks count, Spark adds up; the driver gets the cells that languages have.
     """
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    names = [r[0] for r in known.groupBy(lang).count().orderBy(F.col("count").desc(), lang).limit(MOST_LANGUAGES).collect()]
-    names = sorted(names)
+    names = sorted(r[0] for r in known.select(lang).distinct().collect())
     if not names:
-        return [], np.zeros((0, CELLS))
+        return [], trigrams(*(np.zeros(0, np.int64) for _ in range(3)), 0)
     # As many of each language, so that rare ones are learned too.
-    share = max(1, rows // len(names))
-    some = [known.filter(F.col(lang) == n).select(F.col(key).alias("k")).orderBy(F.xxhash64("k"), "k").limit(share) for n in names]
-    picked = some[0]
-    for more in some[1:]:
-        picked = picked.unionByName(more)
-    picked = F.broadcast(picked.distinct())  # at most ``rows`` ids
+    share = max(rows // len(names), min(rows, LEAST_SHARE), 1)
+    nth = F.row_number().over(W.partitionBy(lang).orderBy(F.xxhash64("k"), "k"))
+    picked = known.select(lang, F.col(key).alias("k")).withColumn("nth", nth).filter(F.col("nth") <= share)
+    picked = F.broadcast(picked.select("k").distinct())  # at most ``share`` ids a language
     sample = known.join(picked, F.col(key) == F.col("k"), "left_semi").select(F.col(lang).alias("l"), F.col(text).cast("string").alias("text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,19 +104,20 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
                 [pa.array([l] * len(cells), pa.string()), pa.array(cells, pa.int32()), pa.array(counts[cells], pa.int64())], names=["l", "cell", "n"]
             )
 
-    table = np.full((len(names), CELLS), 0.5)
-    for l, cell, n in sample.mapInArrow(count, "l string, cell int, n long").groupBy("l", "cell").agg(F.sum("n")).collect():
-        if l in names:
-            table[names.index(l), cell] += n
-    return names, np.log(table / table.sum(axis=1, keepdims=True))
+    counted = sample.mapInArrow(count, "l string, cell int, n long").groupBy("l", "cell").agg(F.sum("n").alias("n")).toArrow()
+    place = pa.array(names, pa.string())
+    tongue = pc.index_in(counted["l"], place).to_numpy()
+    return names, trigrams(tongue.astype(np.int64), counted["cell"].to_numpy(), counted["n"].to_numpy(), len(names))
 
 
-def text_evidence(pages: DataFrame, key: str, url: str, html: str, names: list[str], chances: np.ndarray) -> DataFrame:
+def text_evidence(pages: DataFrame, key: str, url: str, html: str, names: list[str], chances: Trigrams) -> DataFrame:
     """Per page: key, host, suffix, declared language (one of ``names``, ``other`` or ``none``) and log likelihoods."""
     slim = pages.select(
         F.col(key).alias("page_id"), F.col(url).cast("string").alias("url"), F.coalesce(F.col(html).cast("string"), F.lit("")).alias("text")
     )
 
+    listed = frozenset(names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
@@ -97,11 +128,11 @@ def text_evidence(pages: DataFrame, key: str, url: str, html: str, names: list[s
                     suffixes.append(host.rpartition(".")[2])
                     said = _DECLARED.search(t)
                     said = said.group(1).lower() if said else "none"
-                    declared.append(said if said in names or said == "none" else "other")
+                    declared.append(said if said in listed or said == "none" else "other")
                     counts = trigram_counts(page_text(t))
                     n = counts.sum()
                     worth = TRIGRAM_WEIGHT * min(n, MOST_TRIGRAMS) / max(n, 1)
-                    scores.append((chances @ counts * worth).tolist())
+                    scores.append((chances.likelihoods(counts) * worth).tolist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), pa.array(hosts, pa.string()), pa.array(suffixes, pa.string()),
                      pa.array(declared, pa.string()), pa.array(scores, pa.list_(pa.float64()))],
@@ -119,7 +150,7 @@ def normal(logs: Column) -> Column:
     return F.transform(raised, lambda x: x / F.aggregate(raised, F.lit(0.0), lambda a, b: a + b))
 
 
-def identify(pages: DataFrame, names: list[str], chances: np.ndarray, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+def identify(pages: DataFrame, names: list[str], chances: Trigrams, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """Per page: page_id, host, suffix, declared, text_lang, lang, chance, and the chances of all languages in order.
 
     A page without text has only the other evidence; null addresses have an empty host, which is a group like others;
