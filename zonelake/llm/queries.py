@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from zonelake.llm import chunks, languages, metric_join, neighbours, packing, pfair, spotsigs, suffixes, toxicity, urls
+from zonelake.llm import (
+    alignment, bestfit, chunks, languages, metric_join, negatives, neighbours, packing, pfair, spotsigs, suffixes, toxicity,
+    urls,
+)
 from zonelake.session import ensure_runtime
 
 #: Target weights of the mix; sources that are not named share ``OTHER``.
@@ -71,11 +74,24 @@ def op10_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return languages.identify(table(spark, folder, "pages"), names, chances)
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.link_statistics(table(spark, folder, "documents"), *alignment.default_paths())
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, folder, "embeddings"))
+
+
+def op13_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return bestfit.pack_documents(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_ngram_jaccard_join, op2_line_dedup, op3_packing, op4_document_fingerprints, op5_source_mixing,
         op6_url_filters, op7_nearest_neighbours, op8_suffix_dedup, op9_toxicity, op10_language_id,
+        op11_tokenizer_alignment, op12_hard_negatives, op13_best_fit_packing,
     )
 }
-ORACLES = {"op6_url_filters": urls.url_sql()}
+ORACLES = {"op6_url_filters": urls.url_sql(), "op12_hard_negatives": negatives.negatives_sql()}
