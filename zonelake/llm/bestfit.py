@@ -3,10 +3,10 @@
 Documents are cut into pieces of at most one window.  Full pieces are sequences of their own; all others are dealt into
 parts of bounded size, and every part is packed by best-fit decreasing.  A dual feasible function maps lengths so that
 no sequence can hold more than 1 of the mapped sizes; the sum over a part is therefore a lower bound of its number of
-sequences.  A part that needs as many as its best bound is certified.  A part with a gap keeps its full sequences only
-and hands the rest to the next round; a certified part hands over its emptiest sequence, because what is rounded up in
-each part may be saved over all.  What was handed over is dealt anew, so that documents change their partners, and
-packed and certified again.
+sequences.  A part that needs as many as its best bound is certified.  A part with a gap hands
+its documents to the next round; a certified part hands over its emptiest sequence, because what is rounded up in each
+part may be saved over all.  What was handed over is dealt anew into larger parts, up to a fixed size, so that documents
+change their partners, and packed and certified again; a round that saves nothing is not taken.
 """
 
 from __future__ import annotations
@@ -24,8 +24,9 @@ from zonelake.llm.common import slices, stage
 from zonelake.llm.vocabularies import ByteIds, kept, packed, public_path
 
 WINDOW, END_ID = 1024, 2
-#: Pieces of a part, rounds at most (what the last one packs stays), and functions of each family.
-PART_ROWS, ROUNDS, FAMILY = 8192, 6, 24
+#: Pieces of a part in the first round, how much larger it is in each next one, rounds at most (so a part never has more
+#: than about half a million pieces, narrow rows all), and functions of the first family.
+PART_ROWS, GROWTH, ROUNDS, FAMILY = 8192, 4, 4, 24
 
 
 def cut_documents(docs: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -122,7 +123,7 @@ def pack_part(part: pa.Table, window: int, last: bool) -> pa.Table:
     if last:
         stays = np.ones(len(room), bool)
     elif len(room) > bound:
-        stays = room == 0
+        stays = np.zeros(len(room), bool)
     else:
         stays = np.arange(len(room)) != np.argmax(room)
         stays |= room == 0
@@ -147,7 +148,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, part_rows: int = PART_ROWS, ro
     done = [alone.withColumn("part_sequences", F.lit(1).cast("long")).withColumn("part_bound", F.lit(1).cast("long"))]
     left, kept_over, sequences = pieces.filter(~full), None, None
     for turn in range(rounds):
-        parts = max(1, -(-left.count() // part_rows))
+        parts = max(1, -(-left.count() // (part_rows * GROWTH**turn)))
         last = parts == 1 or turn == rounds - 1
         dealt = left.withColumn("deal", F.pmod(F.xxhash64("rid", F.lit(turn)), F.lit(parts)))
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in left.schema)
