@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from bindings.registry import local_times, money, query
 from zonelake.session import scratch_path
-from zonelake.streaming import aggregates, feeds, jobs, scoring, sinks
+from zonelake.streaming import aggregates, feeds, jobs, scoring, sinks, topics, upserts
 
 PROPS = "k INT"
 EVENTS_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -197,3 +197,66 @@ def window_growth_daily(t):
         F.col("event_type").alias("symbol"), F.col("ts").alias("timestamp"), F.col("event_id").alias("volume")
     )
     return aggregates.window_growth(quotes, "1 day")
+
+
+# ---------------------------------------------------------------- topics of landed files
+
+
+def _event_topic(t, folder: str, partitions: int = 4) -> None:
+    """The events as a topic, written by a stream."""
+    events = _event_stream(t).select(
+        (F.col("user_id") % partitions).cast("int").alias("partition"), F.col("event_type").alias("key"),
+        F.to_json(F.struct("event_id", "user_id", "event_type")).alias("value"),
+    )
+    _finish(topics.to_topic_log(events, f"{folder}/topics/events", f"{folder}/write", "events", partitions, available_now=True))
+
+
+@query("""
+    SELECT CAST(user_id % 4 AS INT) AS partition, CAST(0 AS BIGINT) AS first_offset, COUNT(*) - 1 AS last_offset,
+           COUNT(*) AS n, COUNT(*) AS offsets, CAST(SUM(event_id) AS BIGINT) AS ids
+    FROM events GROUP BY 1""")
+def stream_topic_offsets(t):
+    """Stream to topic to stream: every partition's offsets run from 0 without a gap, and no message is lost or repeated."""
+    folder = scratch_path(t.spark, "topics")
+    _event_topic(t, folder)
+    stream = topics.stream_topics(t.spark, f"{folder}/topics", ["events"], "earliest")
+    for _ in range(2):  # the second query goes on where the first one stopped, and finds nothing
+        _finish(sinks.to_table(stream, f"{folder}/table", f"{folder}/read", "append", available_now=True))
+    body = feeds.parse_messages(sinks.all_epochs(t.spark, f"{folder}/table"), "event_id BIGINT", keep=["partition", "offset"])
+    return body.groupBy("partition").agg(
+        F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"), F.count(F.lit(1)).alias("n"),
+        F.count_distinct("offset").alias("offsets"), F.sum("event_id").alias("ids"),
+    )
+
+
+@query("""
+    SELECT CAST(user_id % 4 AS INT) AS partition, COUNT(*) - 100 * CAST(user_id % 4 AS INT) AS n
+    FROM events GROUP BY user_id % 4 HAVING COUNT(*) > 100 * CAST(user_id % 4 AS INT)""")
+def topic_positions(t):
+    """A batch read from explicit positions: each partition from a hundred times its number on."""
+    folder = scratch_path(t.spark, "positions")
+    _event_topic(t, folder)
+    starts = {"events": {str(p): 100 * p for p in range(4)}}
+    return topics.read_topics(t.spark, f"{folder}/topics", ["events"], starts).groupBy("partition").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(WINDOW_SQL)
+def stream_window_upserts(t):
+    """The same windows in update mode, from a topic that grows between two runs of the job; the later half of the
+    events reaches windows that the first run has written."""
+    folder = scratch_path(t.spark, "upserts")
+    quotes = t.events.select(
+        "ts", F.to_json(F.struct(
+            F.col("event_type").alias("symbol"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("timestamp"),
+            F.col("value").alias("current_price"), F.col("user_id").alias("volume"),
+        )).alias("value"),
+    )
+    is_late = F.col("ts") >= F.lit(quotes.agg(F.median("ts")).first()[0])
+    for half in (~is_late, is_late):
+        topics.append_to_topic(quotes.filter(half), f"{folder}/topics/quotes", 4)
+        stream = topics.stream_topics(t.spark, f"{folder}/topics", ["quotes"], "earliest")
+        _finish(jobs.aggregate_quotes(
+            stream, f"{folder}/table", f"{folder}/checkpoint", window="5 minutes", mode="update", available_now=True
+        ))
+    totals = upserts.read_upserts(t.spark, f"{folder}/table").withColumn("avg_price", F.round("avg_price", 8))
+    return local_times(totals, "window_start", "window_end")

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from zonelake.sources.manifests import Manifests
 from zonelake.streaming.feeds import as_messages
 
 EPOCH = "epoch_id"
@@ -29,20 +30,31 @@ def to_table(
 ) -> StreamingQuery:
     """Write each micro-batch to its own partition ``epoch_id``; a repeated epoch replaces itself.
 
-    With ``complete`` each epoch holds the whole result: read it with :func:`latest_epoch`.  With ``append`` the table
-    is the union of the epochs: read it with :func:`all_epochs`.  ``update`` is refused: no reader of epochs can tell
-    which version of a row is the last.
+    With ``complete`` each epoch holds the whole result, so only the last ones are kept: read it with
+    :func:`latest_epoch`.  With ``append`` the table is the union of the epochs: read it with :func:`all_epochs`.
+    ``update`` is refused, because no reader of epochs can tell which version of a row is the last: use
+    :func:`upserts.to_upsert_table`.
     """
     if mode == "update":
-        raise ValueError("epochs hold whole results or new rows; use 'append' or 'complete'")
+        raise ValueError("epochs hold whole results or new rows; use 'append' or 'complete', or an upsert table")
 
     def write(batch: DataFrame, epoch: int) -> None:
         writer = batch.write.format(fmt).mode("overwrite")
         (writer.partitionBy(*partition_by) if partition_by else writer).save(f"{path}/{EPOCH}={epoch}")
+        if mode == "complete":
+            remove_old_epochs(batch.sparkSession, path, epoch)
 
     return _start(df.writeStream.outputMode(mode).foreachBatch(write), checkpoint, available_now)
 
 
+def remove_old_epochs(spark: SparkSession, path: str, epoch: int) -> None:
+    """Delete the epochs that the last two of a ``complete`` stream have replaced."""
+    table = Manifests(spark, path)
+    for name in table.names(path):
+        if name.startswith(f"{EPOCH}=") and int(name.partition("=")[2]) < epoch - 1:
+            table.remove(f"{table.path}/{name}")
+
+
 def latest_epoch(spark: SparkSession, path: str) -> DataFrame:
     """Result of the newest epoch of a ``complete`` stream; the epoch is a partition, so only it is read."""
     epochs = spark.read.parquet(path)
