@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from bindings.registry import money, query
 from zonelake.operators import dedup
 from zonelake.plans import ingest
+from zonelake.session import scratch_path
+from zonelake.sources.unique import UniqueTable
 
 EVENT_COLUMNS = ["user_id", "event_type", "event_id", "ts", "value"]
 
@@ -100,3 +102,18 @@ def pending_extract(t):
 def exists_flag(t):
     urgent = t.orders.filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return dedup.with_exists_flag(t.customer.select("c_custkey"), urgent, ["c_custkey"])
+
+
+@query("""
+    SELECT o_custkey, status, o_orderkey FROM (
+        SELECT o_custkey, nullif(o_orderstatus, 'P') AS status, o_orderkey, row_number() OVER (
+            PARTITION BY o_custkey, nullif(o_orderstatus, 'P')
+            ORDER BY o_orderdate >= TIMESTAMP '1998-01-01', o_orderdate, o_orderkey) AS rn
+        FROM orders) WHERE rn = 1""")
+def dedup_bucketed_history(t):
+    """Two batches into a table with unique keys: the history is joined in its buckets, without a shuffle."""
+    batch, history = _batch_and_history(t)
+    table = UniqueTable(t.spark, scratch_path(t.spark, "unique"), ["o_custkey", "status"], buckets=8)
+    for name, rows in (("history", history), ("batch", batch), ("batch", batch)):
+        table.insert(rows, name, order_by=["o_orderdate", "o_orderkey"])
+    return table.read().select("o_custkey", "status", "o_orderkey")

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from bindings.registry import NATION_YEARS_SQL, REPORT_LINES_SQL, TRANSACTIONS_SQL, nation_years, query, report_lines, transactions
 from bindings.reshape import rate_documents
 from zonelake.functions.scalars import media_kind
-from zonelake.operators import integrity, quality, reshape, stats, windows
+from zonelake.operators import integrity, quality, reshape, sketches, stats, windows
 from zonelake.operators.quality import Between, DistinctWithinRecord, Increasing, InSet, Matches, NotNull, Suite
+from zonelake.session import scratch_path
 
 
 def suite_sql(suite: str, relation: str, broken: dict[str, str], extra: str = "") -> str:
@@ -320,6 +321,36 @@ def column_profile(t):
     return stats.column_profile(t.part, table="part")
 
 
+_MERGED = ["o_orderkey", "o_custkey", "o_orderpriority", "o_orderdate"]
+
+
+@query(" UNION ALL ".join(f"""
+    SELECT '{c}' AS "column", COUNT(*) AS rows, COUNT(*) - COUNT({v}) AS nulls, CAST(MIN({v}) AS VARCHAR) AS least,
+           CAST(MAX({v}) AS VARCHAR) AS most, COUNT(DISTINCT {v}) > 0 AS distinct_holds, TRUE AS median_holds FROM orders"""
+    for c, v in [(c, f"CASE WHEN o_orderstatus <> 'P' THEN {c} END" if c == "o_custkey" else c) for c in _MERGED]))
+def merged_profile(t):
+    """Profiles of yearly snapshots from stored sketches, merged; estimates are held against exact values."""
+    path = scratch_path(t.spark, "sketches")
+    key = F.when(F.col("o_orderstatus") != "P", F.col("o_custkey"))
+    orders = t.orders.withColumn("o_custkey", key).select(*_MERGED)
+    years = [r[0] for r in orders.select(F.year("o_orderdate")).distinct().collect()]
+    for year in years:
+        sketches.store_sketches(orders.filter(F.year("o_orderdate") == year), path, str(year))
+    merged = sketches.profile(sketches.merge_sketches(sketches.read_sketches(t.spark, path)))
+    exact = stats.column_profile(orders).select("column", F.col("distinct").alias("exact"))
+    # The rank of the estimated median among the values of its column.
+    medians = {r.column: r.quantiles[1] for r in merged.filter("quantiles is not null").collect()}
+    ranks = orders.agg(*[(F.count_if(F.col(c) <= m) / F.count(c)).alias(c) for c, m in medians.items()])
+    ranks = ranks.unpivot([], list(medians), "column", "rank")
+    held = merged.join(exact, "column").join(ranks, "column", "left")
+    return held.select(
+        "column", "rows", "nulls", F.regexp_replace("least", r"\.0+$", "").alias("least"),
+        F.regexp_replace("most", r"\.0+$", "").alias("most"),
+        (F.abs(F.col("distinct") - F.col("exact")) <= 0.08 * F.col("exact")).alias("distinct_holds"),
+        F.coalesce(F.abs(F.col("rank") - 0.5) < 0.03, F.lit(True)).alias("median_holds"),
+    )
+
+
 @query("""
     SELECT 'o_orderstatus' AS "column", o_orderstatus AS value, COUNT(*) AS n FROM orders GROUP BY ALL
     UNION ALL SELECT 'o_orderpriority', o_orderpriority, COUNT(*) FROM orders GROUP BY ALL""")
