@@ -137,15 +137,80 @@ def class_report(t):
     return stats.class_report(_ruled(t), "label", "prediction")
 
 
-@query()
+@query("SELECT c_custkey, c_acctbal, " + ", ".join(
+    f"CAST(c_mktsegment = '{s}' AS INT) AS c_mktsegment_{s}" for s in SEGMENTS) + " FROM customer")
+def one_hot_found(t):
+    """The same without a list of categories."""
+    return analysis.one_hot(t.customer.select("c_custkey", "c_acctbal", "c_mktsegment"), "c_mktsegment")
+
+
+_AXES = ["balance", "avg_amount", *[f"(occupation = '{s}')::INT" for s in SEGMENTS], "(dominant_type = 'Credit')::INT", "(dominant_type = 'Debit')::INT"]
+_D = len(_AXES)
+
+
+def _scaled(i: int) -> str:
+    return f"COALESCE((f{i} - AVG(f{i}) OVER ()) / nullif(stddev_pop(f{i}) OVER (), 0), 0)"
+
+
+def _leading(matrix: str, name: str) -> str:
+    """The leading eigenvector and its value: the matrix is squared until one direction is left."""
+    return f"""
+    {name}_power AS (
+        SELECT 0 AS step, m FROM {matrix}
+        UNION ALL
+        SELECT step + 1, [[x / list_max([list_max([abs(y) FOR y IN s]) FOR s IN p]) FOR x IN r] FOR r IN p]
+        FROM (SELECT step, [[list_dot_product(r, c) FOR c IN m] FOR r IN m] AS p FROM {name}_power WHERE step < 40)),
+    {name}_column AS (
+        SELECT m[list_position([m[i][i] FOR i IN range(1, {_D + 1})], list_max([m[i][i] FOR i IN range(1, {_D + 1})]))] AS v
+        FROM {name}_power WHERE step = 40),
+    {name}_unit AS (SELECT [x / sqrt(list_dot_product(v, v)) FOR x IN v] AS v FROM {name}_column),
+    {name} AS (
+        SELECT [x * sign([y FOR y IN v IF abs(y) >= list_max([abs(z) FOR z IN v]) / 2][1]) FOR x IN v] AS v,
+               list_dot_product(v, [list_dot_product(r, v) FOR r IN m]) AS value
+        FROM {name}_unit, {matrix})"""
+
+
+_PC_SQL = f"""
+    features AS (SELECT user_id, {', '.join(f'CAST({x} AS DOUBLE) AS f{i}' for i, x in enumerate(_AXES))} FROM ({USER_FEATURES_SQL})),
+    scaled AS (SELECT user_id, {', '.join(f'{_scaled(i)} AS f{i}' for i in range(_D))} FROM features),
+    covariance AS (SELECT [{', '.join('[' + ', '.join(f'covar_pop(f{i}, f{j})' for j in range(_D)) + ']' for i in range(_D))}] AS m FROM scaled),
+    {_leading('covariance', 'first')},
+    rest AS (SELECT [[m[i][j] - value * v[i] * v[j] FOR j IN range(1, {_D + 1})] FOR i IN range(1, {_D + 1})] AS m FROM covariance, first),
+    {_leading('rest', 'second')},
+    points AS (
+        SELECT user_id, round(list_dot_product(x, first.v), 6) + 0.0 AS pc1, round(list_dot_product(x, second.v), 6) + 0.0 AS pc2
+        FROM (SELECT user_id, [{', '.join(f'f{i}' for i in range(_D))}] AS x FROM scaled), first, second)"""
+
+PCA_SQL = f"WITH RECURSIVE {_PC_SQL} SELECT user_id, pc1, pc2 FROM points"
+
+KMEANS_SQL = f"""
+    WITH RECURSIVE {_PC_SQL},
+    far AS (
+        SELECT 1 AS n, [arg_max([pc1, pc2], [-(pc1 * pc1 + pc2 * pc2), pc1, pc2])] AS cs FROM points
+        UNION ALL
+        SELECT n + 1, list_append(any_value(cs), arg_max([pc1, pc2], [near, pc1, pc2])) FROM (
+            SELECT n, cs, pc1, pc2, list_min([(pc1 - c[1]) ** 2 + (pc2 - c[2]) ** 2 FOR c IN cs]) AS near FROM far, points WHERE n < 3)
+        GROUP BY n),
+    lloyd AS (
+        SELECT 0 AS step, cs FROM far WHERE n = 3
+        UNION ALL
+        SELECT step + 1, list(centre ORDER BY i) FROM (
+            SELECT step, i, [round(AVG(pc1), 9), round(AVG(pc2), 9)] AS centre FROM (
+                SELECT step, pc1, pc2, list_position(d, list_min(d)) AS i FROM (
+                    SELECT step, pc1, pc2, [(pc1 - c[1]) ** 2 + (pc2 - c[2]) ** 2 FOR c IN cs] AS d FROM lloyd, points WHERE step < 30))
+            GROUP BY step, i) GROUP BY step),
+    centres AS (SELECT list_sort(cs) AS cs FROM lloyd WHERE step = 30)
+    SELECT user_id, CAST(list_position(d, list_min(d)) - 1 AS INT) AS cluster
+    FROM (SELECT user_id, [(pc1 - c[1]) ** 2 + (pc2 - c[2]) ** 2 FOR c IN cs] AS d FROM points, centres)"""
+
+
+@query(KMEANS_SQL)
 def kmeans_clusters(t):
-    """Cluster numbers are arbitrary, so there is no SQL; tests check the partition."""
     rows = analysis.cluster_users(_user_features(t), ["balance", "avg_amount"], ["occupation", "dominant_type"]).rows
     return rows.select("user_id", "cluster")
 
 
-@query()
+@query(PCA_SQL)
 def pca_components(t):
-    """Component signs are arbitrary, so there is no SQL; tests check variance and orthogonality."""
     rows = analysis.cluster_users(_user_features(t), ["balance", "avg_amount"], ["occupation", "dominant_type"]).rows
     return rows.select("user_id", F.get("pc", F.lit(0)).alias("pc1"), F.get("pc", F.lit(1)).alias("pc2"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from bindings.registry import query
-from zonelake.functions import text
+from zonelake.functions import sentiment, text
 from zonelake.plans import analysis
 
 PATTERN = "[a-z0-9]{2,}"
@@ -63,3 +63,54 @@ def lexicon_sentiment(t):
     return analysis.lexicon_sentiment(t.documents.select("doc_id", "text"), "doc_id", "text", lexicon, PATTERN).withColumn(
         "score", F.round("score", 9)
     )
+
+
+# ---------------------------------------------------------------- rules around the lexicon
+
+RULES = sentiment.Rules(stronger=("the", "is"), weaker=("or",), negations=("not", "to"), contrast=("that",))
+_BARE = r"^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$"
+
+
+def _step_sql(d: int, before: str) -> str:
+    """What the word ``d`` places before does to the valence ``before``."""
+    boost = f"CASE WHEN l{d} IN ('the', 'is') THEN 0.293 WHEN l{d} = 'or' THEN -0.293 ELSE 0 END::DOUBLE"
+    loud = f"CASE WHEN cap{d} AND mixed THEN 0.733 ELSE 0 END::DOUBLE"
+    fading = sentiment.FADING[d - 1]
+    added = f"CASE WHEN {boost} <> 0 THEN sign({before}) * ({boost} + {loud}) ELSE 0 END::DOUBLE"
+    turned = f"CASE WHEN replace(replace(l{d}, '''', ''), '’', '') IN ('not', 'to') OR suffix(l{d}, 'n''t') THEN -0.74 ELSE 1 END::DOUBLE"
+    return f"CASE WHEN l{d} IS NULL OR v{d} IS NOT NULL THEN {before} ELSE ({before} + {added} * {fading}::DOUBLE) * {turned} END"
+
+
+RULED_SENTIMENT_SQL = f"""
+    WITH lexicon(term, valence) AS (VALUES {_LEXICON_SQL}),
+         runs AS (SELECT doc_id, regexp_extract_all(COALESCE(text, ''), '[^ \\t\\n\\f\\r\\v]+') AS ws FROM documents),
+         each AS (SELECT doc_id, unnest(ws) AS r, generate_subscripts(ws, 1) AS i FROM runs),
+         bare AS (SELECT doc_id, i, r, regexp_replace(r, '{_BARE}', '', 'g') AS b FROM each),
+         word AS (SELECT doc_id, i, CASE WHEN length(b) <= 2 THEN r ELSE b END AS w FROM bare),
+         fact AS (SELECT doc_id, i, lower(w) AS l, upper(w) = w AND lower(w) <> w AS cap, valence FROM word LEFT JOIN lexicon ON term = lower(w)),
+         near AS (SELECT *, {', '.join(f'lag({c}, {d}) OVER o AS {n}{d}' for d in (1, 2, 3) for c, n in (('l', 'l'), ('cap', 'cap'), ('valence', 'v')))},
+                         COUNT(*) FILTER (cap) OVER p BETWEEN 1 AND COUNT(*) OVER p - 1 AS mixed,
+                         COALESCE(MIN(i) FILTER (l = 'that') OVER p, 0) AS turn
+                  FROM fact WINDOW o AS (PARTITION BY doc_id ORDER BY i), p AS (PARTITION BY doc_id)),
+         s0 AS (SELECT *, valence + CASE WHEN cap AND mixed THEN sign(valence) * 0.733::DOUBLE ELSE 0 END AS x0 FROM near
+                WHERE valence IS NOT NULL AND l NOT IN ('the', 'is', 'or')),
+         s1 AS (SELECT *, {_step_sql(1, 'x0')} AS x1 FROM s0),
+         s2 AS (SELECT *, {_step_sql(2, 'x1')} AS x2 FROM s1),
+         s3 AS (SELECT *, {_step_sql(3, 'x2')} AS x3 FROM s2),
+         sums AS (SELECT doc_id, SUM(x3 * CASE WHEN l1 = 'least' AND v1 IS NULL AND COALESCE(l2 NOT IN ('at', 'very'), TRUE) THEN -0.74::DOUBLE ELSE 1 END
+                                     * CASE WHEN turn = 0 OR i = turn THEN 1 WHEN i < turn THEN 0.5::DOUBLE ELSE 1.5::DOUBLE END) AS s
+                  FROM s3 GROUP BY 1),
+         marks AS (SELECT doc_id, least(length(text) - length(replace(text, '!', '')), 4) * 0.292::DOUBLE
+                          + CASE WHEN length(text) - length(replace(text, '?', '')) > 3 THEN 0.96::DOUBLE
+                                 WHEN length(text) - length(replace(text, '?', '')) > 1
+                                 THEN (length(text) - length(replace(text, '?', ''))) * 0.18::DOUBLE ELSE 0 END AS e FROM documents),
+         total AS (SELECT doc_id, COALESCE(s + sign(s) * e, 0) AS t FROM documents JOIN marks USING (doc_id) LEFT JOIN sums USING (doc_id)),
+         scored AS (SELECT doc_id, round(t / sqrt(t * t + 15), 4) AS score FROM total)
+    SELECT doc_id, score, CASE WHEN score > 0.2 THEN 'positive' WHEN score < -0.2 THEN 'negative' ELSE 'neutral' END AS sentiment
+    FROM scored"""
+
+
+@query(RULED_SENTIMENT_SQL)
+def headline_sentiment(t):
+    lexicon = t.spark.createDataFrame(LEXICON, "term STRING, valence DOUBLE")
+    return analysis.headline_sentiment(t.documents.select("doc_id", "text"), "text", lexicon, RULES).drop("text")

@@ -4,17 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from zonelake.functions import text
+from zonelake.functions import sentiment, text
 from zonelake.functions.scalars import quarter_start, squash, three_way
 from zonelake.operators import stats
 from zonelake.operators.filters import equals_ignoring_case, last_years
+from zonelake.plans import clusters
+from zonelake.session import scratch_path
 
 # ---------------------------------------------------------------- headlines
 
@@ -50,6 +48,16 @@ def lexicon_sentiment(
     return sums.select(key, squash(F.col("_total")).alias("score")).withColumn("sentiment", three_way(F.col("score")))
 
 
+def headline_sentiment(
+    df: DataFrame, title: str, lexicon: DataFrame, rules: sentiment.Rules | None = None, low: float = -0.2, high: float = 0.2
+) -> DataFrame:
+    """Add ``score`` and ``sentiment`` by the rules of :mod:`zonelake.functions.sentiment`: negation, boosters, capitals,
+    contrast and end marks count.  The lexicon enters the scan as one value; no title leaves its row."""
+    held = df.withColumn("_lexicon", sentiment.lexicon_lists(lexicon))
+    scored = held.withColumn("score", sentiment.sentiment_score(title, F.col("_lexicon"), rules)).drop("_lexicon")
+    return scored.withColumn("sentiment", three_way(F.col("score"), low, high))
+
+
 # ---------------------------------------------------------------- series
 
 
@@ -87,7 +95,11 @@ def classification_frame(df: DataFrame, features: list[str], target: str = TARGE
 
     The distinct labels (a handful) come in as a scalar subquery, so the table is only scanned.
     """
-    labels = df.filter(F.col(target).isNotNull()).select(F.array_sort(F.collect_set(target))).scalar()
+    # One more than the bound is enough to see that there are too many.
+    distinct = df.filter(F.col(target).isNotNull()).select(target).distinct().limit(MOST_CATEGORIES + 1)
+    found = F.array_sort(F.collect_list(target))
+    few = F.when(F.size(found) <= MOST_CATEGORIES, found).otherwise(F.raise_error(F.lit(f"over {MOST_CATEGORIES} labels")))
+    labels = distinct.select(few).scalar()
     complete = df.dropna(subset=[*features, target])
     return complete.select(
         *(keep or []),
@@ -189,10 +201,29 @@ def user_features(profiles: DataFrame, transactions: DataFrame, key: str = "user
     return profiles.join(per_user, key).dropna()
 
 
-def one_hot(df: DataFrame, column: str, categories: list[str], drop: bool = True) -> DataFrame:
-    """One 0/1 column per listed category, named ``column_category``."""
-    flags = [F.coalesce(F.col(column) == c, F.lit(False)).cast("int").alias(f"{column}_{c}") for c in categories]
-    kept = [c for c in df.columns if not (drop and c == column)]
+#: Different values of a column that are still taken for categories.
+MOST_CATEGORIES = 1000
+
+
+def categories(df: DataFrame, columns: list[str], most: int = MOST_CATEGORIES) -> dict[str, list[str]]:
+    """The values of each column as sorted texts, from one pass; a column with more than ``most`` is an error."""
+    distinct = stats.value_counts(df, columns).filter("value is not null").select("column", "value")
+    found: dict[str, list[str]] = {c: [] for c in columns}
+    for row in distinct.limit(most * len(columns) + 1).collect():
+        found[row.column].append(row.value)
+    if large := sorted(c for c, values in found.items() if len(values) > most):
+        raise ValueError(f"over {most} categories in {', '.join(large)}")
+    return {c: sorted(values) for c, values in found.items()}
+
+
+def one_hot(df: DataFrame, column: str, values: list[str] | None = None, drop: bool = True) -> DataFrame:
+    """One 0/1 column per category, named ``column_category``; all 0 for NULL and for values that aren't listed.
+
+    Without a list the categories are those of the column (see :func:`categories`).
+    """
+    values = categories(df, [column])[column] if values is None else values
+    flags = [F.coalesce(F.col(column).cast("string") == c, F.lit(False)).cast("int").alias(f"{column}_{c}") for c in values]
+    kept = [F.col(f"`{c}`") for c in df.columns if not (drop and c == column)]
     return df.select(*kept, *flags)
 
 
@@ -214,38 +245,40 @@ def standardise(df: DataFrame, columns: list[str]) -> DataFrame:
 
 @dataclass(frozen=True)
 class Clustering:
-    """Fitted cluster model and the table with components and cluster numbers."""
+    """Fitted components and centres, and the table with ``pc`` (coordinates) and ``cluster``."""
 
-    model: PipelineModel
+    components: clusters.Components
+    centres: list[list[float]]
     rows: DataFrame
 
 
 def cluster_users(
-    df: DataFrame, numeric: list[str], categorical: list[str], k: int = 3, components: int = 2, seed: int = 42
+    df: DataFrame, numeric: list[str], categorical: list[str], k: int = 3, components: int = 2, decimals: int = 6
 ) -> Clustering:
-    """One-hot encode, scale, reduce by PCA, k-means.  Adds ``pc`` (array) and ``cluster``.
+    """One-hot encode, scale, reduce to principal components, k-means; complete rows only.
 
-    Cluster numbers and component signs are arbitrary.  The scaler divides by the sample deviation, which moves no
-    row to another cluster: all components grow by one common factor.
+    The features are written once and read by each pass over them.  Signs, start and numbers are fixed (see
+    :mod:`zonelake.plans.clusters`), so the same rows give the same clusters.
     """
-    stages: list = []
-    inputs = list(numeric)
-    if categorical:
-        indexed, encoded = [f"_{c}_ix" for c in categorical], [f"_{c}_hot" for c in categorical]
-        stages += [
-            StringIndexer(inputCols=categorical, outputCols=indexed, stringOrderType="alphabetAsc"),
-            OneHotEncoder(inputCols=indexed, outputCols=encoded, dropLast=False),
-        ]
-        inputs += encoded
-    stages += [
-        VectorAssembler(inputCols=inputs, outputCol="_features", handleInvalid="skip"),
-        StandardScaler(inputCol="_features", outputCol="_scaled", withMean=True, withStd=True),
-        PCA(k=components, inputCol="_scaled", outputCol="_pc"),
-        KMeans(k=k, seed=seed, featuresCol="_pc", predictionCol="cluster"),
-    ]
-    model = Pipeline(stages=stages).fit(df)
-    rows = model.transform(df).withColumn("pc", vector_to_array("_pc"))
-    return Clustering(model, rows.drop(*[c for c in rows.columns if c.startswith("_")]))
+    spark, whole = df.sparkSession, df.dropna(subset=[*numeric, *categorical])
+    names = [f"_n{i}" for i in range(len(numeric))]
+    features = whole.withColumns({n: F.col(c).cast("double") for n, c in zip(names, numeric)})
+    for i, (column, values) in enumerate(categories(whole, categorical).items() if categorical else ()):
+        flags = {f"_c{i}_{j}": (F.col(column).cast("string") == v).cast("double") for j, v in enumerate(values)}
+        features, names = features.withColumns(flags), [*names, *flags]
+    path = scratch_path(spark, "features")
+    features.write.parquet(path)
+    scaled = standardise(spark.read.schema(features.schema).parquet(path), names)
+    found = clusters.principal_components(scaled, names, components)
+    axes = [f"_pc{i}" for i in range(components)]
+    placed = clusters.project(scaled, found, axes)
+    placed = placed.withColumns({c: F.round(F.col(c), decimals) + F.lit(0.0) for c in axes})
+    points = scratch_path(spark, "points")
+    placed.select(*df.columns, *axes).write.parquet(points)
+    placed = spark.read.parquet(points)
+    centres = clusters.k_means(placed, axes, k)
+    rows = placed.select(*df.columns, F.array(*axes).alias("pc"), clusters.nearest(axes, centres).alias("cluster"))
+    return Clustering(found, centres, rows)
 
 
 def evaluation(predicted: DataFrame, actual: str = "label", prediction: str = "prediction") -> tuple[DataFrame, DataFrame]:
