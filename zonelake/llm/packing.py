@@ -12,7 +12,6 @@ import gc
 import os
 import re
 import sys
-import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -40,10 +39,11 @@ def vocabulary_path() -> str:
 class WordIds:
     """Ids of whole texts by a tokenizer whose pieces never cross white space, remembered word by word.
 
-    ``tokenizers`` spends most of its time on repeated words, so a word's ids are kept as bytes.  New words go through
-    tiktoken with the same merges: a letter that no lower-cased text has marks the end of a word, and its merges with
-    single bytes come first.  Texts with special tokens, odd separators or letters whose case depends on their
-    neighbours are left to ``tokenizers`` as a whole.
+    ``tokenizers`` spends most of its time on repeated words, so a word's ids are kept as bytes.  New words of ASCII
+    letters, figures and marks go through tiktoken with the same merges: a letter that no lower-cased text has marks the
+    end of a word, and its merges with single bytes come first.  All other words go to ``tokenizers`` as they stand,
+    because composed letters, case and classes of letters are its own matter.  Texts with special tokens, odd separators
+    or letters whose case depends on their neighbours are left to ``tokenizers`` as a whole.
     """
 
     END = "A"
@@ -93,8 +93,12 @@ class WordIds:
         self.learn([".", ","])
 
     def learn(self, words: list[str]) -> None:
-        """Remember the ids of new words: all go through the coder in one text, with a line break after each."""
-        low = unicodedata.normalize("NFC", "\n".join(words) + "\n").lower()
+        """Remember the ids of new words: plain ones go through the coder in one text, with a line break after each."""
+        others = [w for w in words if not w.isascii()]
+        for word, found in zip(others, self.plain.encode_batch(others, add_special_tokens=False)):
+            self.known[word] = np.array(found.ids, "<u4").tobytes()
+        words = [w for w in words if w.isascii()]
+        low = "\n".join(words) + "\n"
         marked = self.END.join(self.pieces.findall(low)) + self.END
         ranks = self.coder.encode_to_numpy(marked, disallowed_special=())
         ends = np.flatnonzero(ranks == 256 + ord("\n"))
@@ -104,8 +108,8 @@ class WordIds:
             start = end + 1
 
     def stem(self, word: str) -> str:
-        """The word without a last stop or comma that follows a letter, and so is a piece of its own."""
-        return word[:-1] if word[-1] in ".," and len(word) > 1 and word[-2].isalpha() else word
+        """The word without a last stop or comma that follows a plain letter, and so is a piece of its own."""
+        return word[:-1] if word[-1] in ".," and word[-2:-1].isascii() and word[-2:-1].isalpha() else word
 
     def texts(self, texts: list[str]) -> Iterator[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
@@ -117,7 +121,7 @@ class WordIds:
             if "<|" in t or not t.isascii() and self.odd.search(t) or any(c in t for c in self.SEPARATORS):
                 rows.append((None, None, t))
                 continue
-            words = t.lower().split()
+            words = t.lower().split() if t.isascii() else [w.lower() if w.isascii() else w for w in t.split()]
             found = list(map(known.get, words))
             gaps = [(i, words[i]) for i, x in enumerate(found) if x is None] if None in found else ()
             for _, w in gaps:
@@ -153,25 +157,29 @@ def cut_documents(docs: DataFrame, path: str, window: int = WINDOW, key: str = "
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = word_ids(path)
+        coder, collects = word_ids(path), gc.isenabled()
         gc.disable()  # the lists of words hold no cycles, and looking for some takes half of the time
-        for batch in batches:
-            for part in slices(batch, "text"):
-                row, start, length, crc, tokens = [], [], [], [], []
-                for i, ids in enumerate(coder.texts(part.column("text").to_pylist())):
-                    ids += end
-                    n = len(ids) // 4
-                    for a in range(0, n, window):
-                        size = min(window, n - a)
-                        row.append(i)
-                        start.append(a)
-                        length.append(size)
-                        crc.append(zlib.crc32(ids[4 * a : 4 * (a + size)]))
-                        tokens.append(n)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(pa.array(row, pa.int64())), *[pa.array(c, pa.int64()) for c in (start, length, crc, tokens)]],
-                    names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
-                )
+        try:
+            for batch in batches:
+                for part in slices(batch, "text"):
+                    row, start, length, crc, tokens = [], [], [], [], []
+                    for i, ids in enumerate(coder.texts(part.column("text").to_pylist())):
+                        ids += end
+                        n = len(ids) // 4
+                        for a in range(0, n, window):
+                            size = min(window, n - a)
+                            row.append(i)
+                            start.append(a)
+                            length.append(size)
+                            crc.append(zlib.crc32(ids[4 * a : 4 * (a + size)]))
+                            tokens.append(n)
+                    yield pa.RecordBatch.from_arrays(
+                        [part.column("doc_id").take(pa.array(row, pa.int64())), *[pa.array(c, pa.int64()) for c in (start, length, crc, tokens)]],
+                        names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                    )
+        finally:
+            if collects:
+                gc.enable()
 
     kind = slim.schema["doc_id"].dataType.simpleString()
     return slim.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")

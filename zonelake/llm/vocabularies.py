@@ -196,27 +196,6 @@ class PieceIds(Remembered):
             self.known[part] = packed(ids)
 
 
-class LowerIds(Remembered):
-    """A vocabulary of lower-cased words with word ends that drops white space: words are independent of each other."""
-
-    def __init__(self, path: str, memory: int = MEMORY):
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        super().__init__(memory)
-        self.plain = Tokenizer.from_file(path)
-
-    def encode(self, text: str) -> np.ndarray:
-        return np.array(self.plain.encode(text, add_special_tokens=False).ids, "<u4")
-
-    def parts(self, text: str) -> list[str]:
-        # Only the space and the common breaks part words for the tokenizer and for Python alike.
-        return text.split()
-
-    def learn(self, parts: list[str]) -> None:
-        raise NotImplementedError
-
-
 def kept(kind: type, *args):
     """The coder of this Python process, kept for its later tasks."""
     store = vars(sys).setdefault("_kept_coders", {})
