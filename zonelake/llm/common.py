@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from zonelake.session import scratch_path
@@ -15,13 +15,31 @@ from zonelake.session import scratch_path
 CHUNK_BYTES = 2 << 20
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared scratch folder and read it back: cuts the lineage, survives lost executors."""
+#: Folders that ``stage`` has written in this process and ``release`` has not removed.
+_staged: list[str] = []
+
+
+def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back: cuts the lineage, survives lost executors.
+
+    With ``keep`` the folder stays until its owner removes it; others go with the next :func:`release`.
+    """
     path = scratch_path(df.sparkSession, name)
+    if not keep:
+        _staged.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Remove the folders of finished operators.  For those who have written their results: frames that still read these
+    folders fail."""
+    hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark._jsparkSession.sessionState().newHadoopConf()
+    while _staged:
+        path = hadoop.Path(_staged.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores in front until no column of the frame is called so."""
     taken = {c.lower() for c in df.columns}
