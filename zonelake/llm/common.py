@@ -31,6 +31,18 @@ def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stage_buckets(df: DataFrame, name: str, key: str) -> DataFrame:
+    """As :func:`stage`, dealt into buckets of ``key``, so that joins by it leave these rows where they are."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    table = f"staged_{path.rpartition('-')[2]}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _staged.append(path)
+    out = df.repartition(n, key).write.format("parquet").option("compression", "zstd").option("path", path)
+    out.bucketBy(n, key).sortBy(key).saveAsTable(table)
+    return spark.table(table)
+
+
 def release(spark: SparkSession) -> None:
     """Remove the folders of finished operators.  For those who have written their results: frames that still read these
     folders fail."""

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from zonelake.llm.common import mix, odd_powers, signed, slices, stage, text_key, text_of
+from zonelake.llm.common import mix, odd_powers, signed, slices, stage, stage_buckets, text_key, text_of
 from zonelake.llm.graph import components
 
 WORDS, PERCENT = 5, 80
@@ -235,7 +235,12 @@ def plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
 
 
 def distances(pairs: DataFrame, pool: DataFrame, words: int) -> DataFrame:
-    """(a, b, shared, united) of every pair (a, b), from the texts in ``pool`` (sig, text)."""
+    """(a, b, shared, united) of every pair (a, b), from the texts in ``pool`` (sig, text), a table in buckets of sig.
+
+    ``pairs`` must be staged.  Only the texts that they need leave the buckets.
+    """
+    ends = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    pool = stage(pool.join(ends, "sig").select("sig", "text"), "texts")
     one = pool.select(F.col("sig").alias("a"), F.col("text").alias("text_a"))
     two = pool.select(F.col("sig").alias("b"), F.col("text").alias("text"))
     both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "text_a", "text")
@@ -362,7 +367,7 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
     owner = rows.filter(F.col("n") > 0).groupBy("sig").agg(F.min(F.struct(F.xxhash64("id").alias("k"), "tk")).alias("o"))
     owner = owner.join(needed, "sig", "left_semi").select("sig", "o.k", "o.tk")
     texts = docs.select(F.xxhash64(key).alias("k"), text_key(key, text).alias("tk"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    pool = stage(texts.join(owner, ["k", "tk"]).dropDuplicates(["k", "tk"]).select("sig", "text"), "pool")
+    pool = stage_buckets(texts.join(owner, ["k", "tk"]).dropDuplicates(["k", "tk"]).select("sig", "text"), "pool", "sig")
 
     checked = stage(distances(pairs, pool, words), "distances")
     near = F.col("shared") * 100 >= F.col("united") * percent
@@ -371,7 +376,8 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
     def compare(pairs: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
         """(checked, known, whether a link is new) with the pairs that were not compared before."""
         seen = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = stage(distances(pairs.distinct().join(seen, ["a", "b"], "left_anti"), pool, words), "distances")
+        fresh = stage(pairs.distinct().join(seen, ["a", "b"], "left_anti"), "pairs")
+        fresh = stage(distances(fresh, pool, words), "distances")
         links = fresh.filter(near).select("a", "b")
         if links.isEmpty():
             return checked.unionByName(fresh), known, False
