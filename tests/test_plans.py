@@ -14,7 +14,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SMALL), reason="needs the give
 ACTING = {
     "stream_window_agg_5m", "stream_trades_hourly", "stream_scored_messages", "csv_landing", "json_documents",
     "schema_evolution", "partitioned_table", "discovered_tables", "exported_tables", "migrated_table", "migration_audit",
-    "kmeans_clusters", "pca_components",
+    "kmeans_clusters", "pca_components", "stream_topic_offsets", "topic_positions", "stream_window_upserts",
+    "dedup_bucketed_history", "merged_profile",
 }
 LAZY = sorted(set(contract.queries()) - ACTING)
 
