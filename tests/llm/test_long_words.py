@@ -3,7 +3,7 @@
 import os
 
 from zonelake.llm import metric_join
-from zonelake.llm.common import release, stage
+from zonelake.llm.common import release, stage, staging
 
 
 def thue_morse(n):
@@ -19,9 +19,13 @@ def test_words_built_against_the_hash_do_not_link(spark):
         assert found == {1: 1, 2: 2, 3: 1}
 
 
-def test_release_removes_staged_folders(spark):
-    gone, kept = stage(spark.range(3), "gone"), stage(spark.range(3), "kept", keep=True)
+def test_folders_of_a_finished_block_go(spark):
+    with staging(spark):
+        gone = stage(spark.range(3), "gone")
+    kept = stage(spark.range(3), "kept")
     path = lambda df: df.inputFiles()[0].removeprefix("file://")
     before = path(gone), path(kept)
+    assert os.path.exists(before[0])
+    with staging(spark):
+        assert not os.path.exists(before[0]) and os.path.exists(before[1])
     release(spark)
-    assert not os.path.exists(before[0]) and os.path.exists(before[1])

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,17 +16,15 @@ from zonelake.session import scratch_path
 CHUNK_BYTES = 2 << 20
 
 
-#: Folders that ``stage`` has written in this process and ``release`` has not removed.
+#: Whether folders are noted for removal, and those that are.
+_noting = [False]
 _staged: list[str] = []
 
 
-def stage(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """Write a frame to the shared scratch folder and read it back: cuts the lineage, survives lost executors.
-
-    With ``keep`` the folder stays until its owner removes it; others go with the next :func:`release`.
-    """
+def stage(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared scratch folder and read it back: cuts the lineage, survives lost executors."""
     path = scratch_path(df.sparkSession, name)
-    if not keep:
+    if _noting[0]:
         _staged.append(path)
     df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -37,15 +36,30 @@ def stage_buckets(df: DataFrame, name: str, key: str) -> DataFrame:
     path = scratch_path(spark, name)
     table = f"staged_{path.rpartition('-')[2]}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    _staged.append(path)
+    if _noting[0]:
+        _staged.append(path)
     out = df.repartition(n, key).write.format("parquet").option("compression", "zstd").option("path", path)
     out.bucketBy(n, key).sortBy(key).saveAsTable(table)
     return spark.table(table)
 
 
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Remove what was staged inside the last such block, and note what is staged inside this one.
+
+    For chains that write the result of each block before the next one begins: frames that still read the folders of an
+    earlier block fail.  What is staged outside such blocks is not removed.
+    """
+    release(spark)
+    _noting[0] = True
+    try:
+        yield
+    finally:
+        _noting[0] = False
+
+
 def release(spark: SparkSession) -> None:
-    """Remove the folders of finished operators.  For those who have written their results: frames that still read these
-    folders fail."""
+    """Remove the folders that are noted."""
     hadoop, conf = spark.sparkContext._jvm.org.apache.hadoop.fs, spark._jsparkSession.sessionState().newHadoopConf()
     while _staged:
         path = hadoop.Path(_staged.pop())
