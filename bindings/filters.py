@@ -37,11 +37,11 @@ def first_entries(t):
 
 @query("""
     SELECT n_nationkey, r_name, CAST(len(list(c_custkey)) AS INT) AS n FROM nation JOIN region ON n_regionkey = r_regionkey
-    JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = 'BUILDING' AND c_acctbal > 9000 GROUP BY ALL""")
+    JOIN customer ON c_nationkey = n_nationkey AND c_mktsegment = 'BUILDING' GROUP BY ALL""")
 def nested_lookup(t):
     """Per nation a map segment -> (region -> number of customers); pick one path, skip what is empty."""
-    rich = t.customer.filter("c_acctbal > 9000").groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
-    placed = rich.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
+    counts = t.customer.groupBy("c_nationkey", "c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
+    placed = counts.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey")).join(
         t.region, F.col("n_regionkey") == F.col("r_regionkey")
     )
     counted = F.array(F.col("n").cast("int"))
