@@ -2,8 +2,9 @@
 
 Every string of ``length`` bytes has an anchor: its gram with the smallest hash.  Equal strings have equal anchors, so
 the strings of one anchor can be decided apart from all others.  A document is cut into contexts, the runs of strings
-with one anchor.  Contexts that are the same in all places of their anchor are one class and need no sorting; the
-different contexts of an anchor are put together in shards.  A shard's suffix array is built by induced sorting:
+whose anchors are equal.  Contexts that are the same in all places of their anchor are one class and need no sorting; the
+different contexts of an anchor are put together in shards, and so is a context in which the anchor moves (a text that
+repeats itself), because its strings may be equal to each other.  A shard's suffix array is built by induced sorting:
 suffixes are classified, the leftmost-smaller substrings are named and ranked, and all other suffixes follow from them
 bucket by bucket.  Common prefixes are computed in the order of the text (permuted), where they fall by one at most.
 """
@@ -22,9 +23,11 @@ from pyspark.sql import functions as F
 from zonelake.llm.common import mix, odd_powers, signed, slices, stage, text_key, text_of
 
 LENGTH, GRAM = 200, 32
-#: Bytes of contexts that one suffix array is built over, and contexts of an anchor beyond which its strings are told
-#: apart by their own hashes, one row a string, instead of being gathered.
+#: Bytes of contexts that one suffix array is built over, and contexts of an anchor beyond which its strings are compared
+#: one row a string, dealt by their bytes, instead of being gathered.
 SHARD_BYTES, MOST_CONTEXTS = 2 << 20, 4096
+#: Starts of a context, and starts of a text that are looked at together (their places have to fit 28 bits).
+MOST_STARTS, BLOCK = 256, 1 << 26
 #: Bytes that UTF-8 never has: between contexts, and after the last.
 BREAK, END = 0xFF, 0xFE
 
@@ -45,12 +48,25 @@ class Rolling:
         return mix((self.sums[stop] - self.sums[start]) * self.shift[start])
 
 
-def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM):
-    """Runs of strings with one anchor: (document, first start, last start, hash of the anchor, hash of the context)."""
+def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK):
+    """Runs of strings with equal anchors: (document, first start, last start, hash of the anchor, hash of the context,
+    whether the anchor moves).  Runs end after ``MOST_STARTS`` starts and at multiples of ``block``."""
+    parts = []
+    for at in range(0, max(len(raw), 1), block):
+        piece = raw[at : at + block + length - 1]
+        bounds = np.clip(offsets - at, 0, len(piece))
+        document, low, high, *rest = _anchors(piece, bounds, length, gram)
+        shift = at + bounds[document] - offsets[document]
+        parts.append((document, low + shift, high + shift, *rest))
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def _anchors(raw: np.ndarray, offsets: np.ndarray, length: int, gram: int):
     n = len(raw)
     none = np.zeros(0, np.int64)
+    nothing = none, none, none, none.view(np.uint64), none.view(np.uint64), none.astype(bool)
     if n < length:
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return nothing
     rolling = Rolling(raw)
     at = np.arange(n - gram + 1)
     hashes = rolling.of(at, at + gram)
@@ -70,16 +86,20 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, length: int = LENGTH, gram: in
     inside[offsets[1:][long] - length + 1] -= 1
     starts = np.flatnonzero(np.cumsum(inside[: len(place)]) > 0)
     if not len(starts):
-        return none, none, none, none.view(np.uint64), none.view(np.uint64)
+        return nothing
     own = place[starts]
+    names = hashes[own]
     new = np.ones(len(starts), bool)
-    new[1:] = (own[1:] != own[:-1]) | (starts[1:] != starts[:-1] + 1)
-    first = np.flatnonzero(new)
-    low, high = starts[first], starts[np.append(first[1:], len(starts)) - 1]
+    new[1:] = (names[1:] != names[:-1]) | (starts[1:] != starts[:-1] + 1)
+    nth = np.arange(len(starts))
+    nth -= np.maximum.accumulate(np.where(new, nth, 0))
+    first = np.flatnonzero(nth % MOST_STARTS == 0)
+    last = np.append(first[1:], len(starts)) - 1
+    low, high = starts[first], starts[last]
     document = np.searchsorted(offsets, low, "right") - 1
     # The context's hash also holds where the anchor is in it.
     context = mix(rolling.of(low, high + length) ^ (own[first] - low).astype(np.uint64))
-    return document, low - offsets[document], high - offsets[document], hashes[own[first]], context
+    return document, low - offsets[document], high - offsets[document], names[first], context, own[first] != own[last]
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -260,23 +280,27 @@ def anchor_rows(slim: DataFrame, length: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                document, low, high, anchor, context = anchors(*text_of(part.column("text")), length)
+                document, low, high, anchor, context, moves = anchors(*text_of(part.column("text")), length)
                 at = pa.array(document, pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(signed(anchor)), pa.array(signed(context)), part.column("id").take(at), part.column("tk").take(at), pa.array(low, pa.int64()), pa.array(high, pa.int64())],
-                    names=["anchor", "context", "id", "tk", "low", "high"],
+                    [pa.array(signed(anchor)), pa.array(signed(context)), part.column("id").take(at), part.column("tk").take(at), pa.array(low, pa.int64()), pa.array(high, pa.int64()), pa.array(moves)],
+                    names=["anchor", "context", "id", "tk", "low", "high", "moves"],
                 )
 
-    return slim.mapInArrow(run, f"anchor long, context long, id {kind}, tk long, low long, high long")
+    return slim.mapInArrow(run, f"anchor long, context long, id {kind}, tk long, low long, high long, moves boolean")
 
 
 def repeated_ranges(slim: DataFrame, length: int, most_contexts: int = MOST_CONTEXTS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(id, tk, low, high): strings that start at low .. high of a text start elsewhere too."""
     kind = slim.schema["id"].dataType.simpleString()
     found = stage(anchor_rows(slim, length), "anchors")
-    groups = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("places"), F.min("context").alias("x"), F.max("context").alias("y"))
-    groups = groups.filter(F.col("places") > 1).select("anchor", (F.col("x") == F.col("y")).alias("alike"))
-    shared = stage(found.join(groups, "anchor"), "shared-anchors")
+    groups = found.groupBy("anchor").agg(
+        F.count(F.lit(1)).alias("places"), F.min("context").alias("x"), F.max("context").alias("y"), F.max("moves").alias("moves")
+    )
+    alike = (F.col("places") > 1) & (F.col("x") == F.col("y"))
+    # Written, so that the join may split an anchor that has many of the places.
+    groups = stage(groups.filter((F.col("places") > 1) | F.col("moves")).select("anchor", alike.alias("alike")), "repeated-anchors")
+    shared = stage(found.join(groups, "anchor").drop("moves"), "shared-anchors")
     ranges = shared.filter("alike").select("id", "tk", "low", "high")
     # Anchors with different contexts: one of each is sorted, and stands for its copies.
     mixed = shared.filter(~F.col("alike"))
@@ -298,23 +322,15 @@ def repeated_ranges(slim: DataFrame, length: int, most_contexts: int = MOST_CONT
                 row, key, copies, low, body = [], [], [], [], []
                 for i, (t, wanted) in enumerate(zip(part.column("text").to_pylist(), part.column("asked").to_pylist())):
                     raw = t.encode()
-                    rolling = Rolling(np.frombuffer(raw, np.uint8)) if any(w["many"] for w in wanted) else None
                     for w in wanted:
                         a, b = w["low"], w["high"]
-                        if w["many"]:  # a row for each string, named by its hash
-                            starts = np.arange(a, b + 1)
-                            names = signed(rolling.of(starts, starts + length)).tolist()
-                            row += [i] * len(names)
-                            key += names
-                            copies += [w["copies"]] * len(names)
-                            low += starts.tolist()
-                            body += [None] * len(names)
-                        else:
-                            row.append(i)
-                            key.append(w["anchor"])
-                            copies.append(w["copies"])
-                            low.append(a)
-                            body.append(raw[a : b + length])
+                        # A row for each string, or one for all of them.
+                        starts = range(a, b + 1) if w["many"] else (a,)
+                        row += [i] * len(starts)
+                        key += [None if w["many"] else w["anchor"]] * len(starts)
+                        copies += [w["copies"]] * len(starts)
+                        low += starts
+                        body += [raw[x : x + length] for x in starts] if w["many"] else [raw[a : b + length]]
                 at = pa.array(row, pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key, pa.int64()), pa.array(copies, pa.int64()), part.column("id").take(at), part.column("tk").take(at), pa.array(low, pa.int64()), pa.array(body, pa.binary())],
@@ -324,9 +340,9 @@ def repeated_ranges(slim: DataFrame, length: int, most_contexts: int = MOST_CONT
     bodies = stage(
         texts.select("id", "tk", "text", "asked").mapInArrow(fetch, f"key long, copies long, id {kind}, tk long, low long, body binary"), "bodies"
     )
-    strings = bodies.filter(F.col("body").isNull())
-    often = strings.groupBy("key").agg(F.sum("copies").alias("n")).filter(F.col("n") > 1).select("key")
-    strings = strings.join(often, "key", "left_semi").select("id", "tk", "low", F.col("low").alias("high"))
+    strings = bodies.filter(F.col("key").isNull())
+    often = stage(strings.groupBy("body").agg(F.sum("copies").alias("n")).filter(F.col("n") > 1).select("body"), "strings")
+    strings = strings.join(often, "body", "left_semi").select("id", "tk", "low", F.col("low").alias("high"))
 
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Anchors come together; a shard is some whole anchors."""
@@ -374,7 +390,7 @@ def repeated_ranges(slim: DataFrame, length: int, most_contexts: int = MOST_CONT
             for part in cut(pa.Table.from_batches(held).combine_chunks(), True)[0]:
                 yield settle(part)
 
-    sorted_bodies = bodies.filter(F.col("body").isNotNull()).repartition("key").sortWithinPartitions("key")
+    sorted_bodies = bodies.filter(F.col("key").isNotNull()).repartition("key").sortWithinPartitions("key")
     decided = sorted_bodies.mapInArrow(sort, f"id {kind}, tk long, low long, high long")
     return ranges.unionByName(strings).unionByName(decided)
 
