@@ -109,8 +109,9 @@ def mix_sources(
 
     Sorting by (slot, place) gives the mix.  ``weights`` names the sources; rows of any other source, or of none,
     form one stream ``other`` with its own weight, so the schedule is as long as the sum of the weights as whole
-    numbers (a phase of fewer blocks: as long as that) and no weight is rounded.  Within a stream rows are in the order of a hash of ``key``.  No row is dropped or repeated: when a source is
-    used up, the others share its weight.  Repeated rows are rows like others.  An empty table gives no rows.  The
+    numbers (a phase of fewer blocks: as long as that) and no weight is rounded.  Within a stream rows are in the order
+    of a hash of ``key`` and all other columns, so rows of one key, or without, are ranked in many runs.  No row is
+    dropped or repeated: when a source is used up, the others share its weight.  Repeated rows are rows like others.  An empty table gives no rows.  The
     counts per stream are the only figures on the driver.  A source of any size is ranked in runs of about
     ``run_rows`` rows, whose starts are summed over the small table of runs.  A table of slots longer than ``period``
     for each phase and source is joined as Spark decides.
@@ -126,7 +127,10 @@ def mix_sources(
     named = (
         F.when(F.col(source).isin(*weights), F.col(source)).otherwise(F.lit(rest)) if weights else F.lit(rest)
     )
-    marked = df.withColumns({stream: named.cast("string"), mark: F.xxhash64(F.col(key))})
+    # Maps and variants can't be hashed, wherever they are in a column, so such a column's JSON is.
+    loose = lambda kind: "map<" in kind or "variant" in kind
+    row = [F.to_json(F.struct(F.col(c))) if loose(kind) else F.col(c) for c, kind in df.dtypes]
+    marked = df.withColumns({stream: named.cast("string"), mark: F.xxhash64(F.col(key), *row)})
     counts = {r[0]: r[1] for r in marked.groupBy(stream).count().collect()}
     runs = max(1, -(-max(counts.values(), default=0) // run_rows))
     # Equal stretches of the hash: runs in order of the hash, so that the ranks follow on from each other.
@@ -135,10 +139,8 @@ def mix_sources(
     sizes = marked.groupBy(stream, run).agg(F.count(F.lit(1)).alias("n"))
     earlier = W.partitionBy(stream).orderBy(run).rowsBetween(W.unboundedPreceding, -1)
     starts = sizes.select(stream, run, F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias(low))
-    ties = [F.col(c) for c, kind in df.dtypes if not kind.startswith("map") and kind != "variant"]
-    tied = F.xxhash64(*ties) if ties else F.lit(0)
-    # The rank needs only the hash of the row; the row itself moves once.
-    ranked = marked.withColumn(place, F.row_number().over(W.partitionBy(stream, run).orderBy(mark, tied)) - 1)
+    # Rows move with their rank.  Of rows with equal hashes the smaller key is first; equal rows are interchangeable.
+    ranked = marked.withColumn(place, F.row_number().over(W.partitionBy(stream, run).orderBy(mark, F.col(key))) - 1)
     ranked = ranked.join(starts, [stream, run]).withColumn(place, F.col(place) + F.col(low))
 
     plan = phases({s: -(-n // block_rows) for s, n in counts.items()}, {**weights, rest: other})
