@@ -30,11 +30,24 @@ HOST_STRENGTH, SUFFIX_STRENGTH, GROUP_STRENGTH = 10.0, 50.0, 20.0
 
 _DROPPED = re.compile(r"<!--.*?(?:-->|\Z)|<(script|style|nav)\b.*?(?:</\1\s*>|\Z)", re.S | re.I)
 _TAG = re.compile(r"<[^>]*>")
-_DECLARED = re.compile(r"<html\b[^>]*?\blang\s*=\s*[\"']?\s*([a-z]{2,3})\b", re.I)
+_HTML = re.compile(r"<html\b[^>]*", re.I)
+_LANG = re.compile(r"\blang\s*=\s*(?:[\"']\s*)?([a-z]{2,3})\b", re.I)
 
 
 def page_text(html: str) -> str:
-    return _TAG.sub(" ", _DROPPED.sub(" ", html))
+    """Text of a page, in linear time: behind the last ``>`` no tag can end, so none is looked for there."""
+    left = _DROPPED.sub(" ", html)
+    end = left.rfind(">") + 1
+    return _TAG.sub(" ", left[:end]) + left[end:]
+
+
+def declared_language(html: str) -> str | None:
+    """Language of the first ``html`` tag that names one, lower-cased.  Each tag is read once, up to its end."""
+    for tag in _HTML.finditer(html):
+        said = _LANG.search(html, tag.start() + 5, tag.end())
+        if said:
+            return said.group(1).lower()
+    return None
 
 
 def trigram_counts(text: str) -> np.ndarray:
@@ -82,13 +95,19 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "d
     ``LEAST_SHARE``, from so many of each.  Tasks count, Spark adds up; the driver gets the cells that languages have.
     """
     known = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
-    names = sorted(r[0] for r in known.select(lang).distinct().collect())
+    sizes = {r[0]: r[1] for r in known.groupBy(lang).count().collect()}
+    names = sorted(sizes)
     if not names:
         return [], trigrams(*(np.zeros(0, np.int64) for _ in range(3)), 0)
     # As many of each language, so that rare ones are learned too.
     share = max(rows // len(names), min(rows, LEAST_SHARE), 1)
-    nth = F.row_number().over(W.partitionBy(lang).orderBy(F.xxhash64("k"), "k"))
-    picked = known.select(lang, F.col(key).alias("k")).withColumn("nth", nth).filter(F.col("nth") <= share)
+    # Only ids with small hashes are ranked: about twice as many as are wanted, however many there are.
+    ids = known.select(F.col(lang).alias("l"), F.col(key).alias("k")).filter(F.col("k").isNotNull()).withColumn("h", F.xxhash64("k"))
+    few = (F.col("h").cast("double") + 2.0**63) * F.col("count") <= 2.0**64 * (2 * share + 64)
+    nth = F.row_number().over(W.partitionBy("l").orderBy("h", "k"))
+    # One row a language, as ``names``, which goes to all tasks with the model anyway.
+    counts = F.broadcast(known.sparkSession.createDataFrame(list(sizes.items()), "l string, count long"))
+    picked = ids.join(counts, "l").filter(few).withColumn("nth", nth).filter(F.col("nth") <= share)
     picked = F.broadcast(picked.select("k").distinct())  # at most ``share`` ids a language
     sample = known.join(picked, F.col(key) == F.col("k"), "left_semi").select(F.col(lang).alias("l"), F.col(text).cast("string").alias("text"))
 
@@ -126,8 +145,7 @@ def text_evidence(pages: DataFrame, key: str, url: str, html: str, names: list[s
                     host = address_parts(u)[0].rpartition("@")[2].partition(":")[0]
                     hosts.append(host)
                     suffixes.append(host.rpartition(".")[2])
-                    said = _DECLARED.search(t)
-                    said = said.group(1).lower() if said else "none"
+                    said = declared_language(t) or "none"
                     declared.append(said if said in listed or said == "none" else "other")
                     counts = trigram_counts(page_text(t))
                     n = counts.sum()
@@ -165,18 +183,24 @@ def identify(pages: DataFrame, names: list[str], chances: Trigrams, key: str = "
         )
     seen = stage(text_evidence(pages, key, url, html, names, chances), "languages")
     soft = seen.withColumn("p", normal(F.col("ll")))
-    span = range(len(names))
-    sums = [F.sum(F.get("p", i)).alias(f"s{i}") for i in span]
-    group = lambda by: soft.groupBy(*by).agg(*sums)
-    packed = lambda name: F.array(*[F.col(f"s{i}") for i in span]).alias(name)
-    hosts = group(["host", "suffix", "declared"])
-    # One pass over the pages; the coarser groups add up the finer ones.
-    up = lambda df, by: df.groupBy(*by).agg(*[F.sum(f"s{i}").alias(f"s{i}") for i in span])
-    by_host = up(hosts, ["host", "suffix"]).select("host", packed("nh"))
-    suffixes = up(hosts, ["suffix"]).select("suffix", packed("ns"))
-    declared = up(hosts, ["declared"]).select(F.col("declared"), packed("nd"))
-    total = list(up(hosts, []).first() or [])
-    total = [float(x or 0.0) for x in total]
+    by = ["host", "suffix", "declared"]
+    # One pass over the pages, one row for each group and language; the coarser groups add up the finer ones.
+    groups = soft.select(*by, F.posexplode("p").alias("i", "p")).groupBy(*by, "i").agg(F.sum("p").alias("s"))
+    groups = stage(groups, "groups")
+
+    def counts_by(name: str, *by: str) -> DataFrame:
+        """Pages of each language in a row of the groups ``by``, as an array in the order of ``names``."""
+        sums = groups.groupBy(*by, "i").agg(F.sum("s").alias("s"))
+        row = F.transform(F.array_sort(F.collect_list(F.struct("i", "s"))), lambda x: x["s"])
+        return sums.groupBy(*by).agg(row.alias(name))
+
+    # Written, so that the joins may split a host or a suffix that has many of the pages.
+    by_host = stage(counts_by("nh", "host"), "hosts")
+    suffixes = stage(counts_by("ns", "suffix"), "suffixes")
+    declared = counts_by("nd", "declared")
+    total = [0.0] * len(names)
+    for i, s in groups.groupBy("i").agg(F.sum("s")).collect():
+        total[i] = float(s)
     whole = sum(total)
     overall = F.array(*[F.lit((x + 1.0) / (whole + len(total))) for x in total])
     counts = F.array(*[F.lit(x) for x in total])
