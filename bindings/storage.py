@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from bindings.registry import doubles, money, query
 from zonelake.operators import quality
+from zonelake.plans import extracts
 from zonelake.plans import migrate as migration
+from zonelake.plans.ingest import Extract
 from zonelake.session import scratch_path
 from zonelake.sources import catalog, readers, sinks
 
@@ -157,3 +159,41 @@ def migration_audit(t):
     audit = migration.read_audit(t.spark, base, TX)
     day = F.regexp_extract("landing_table", "2024010([0-9])T", 1).cast("int")
     return audit.select(day.alias("snapshot"), "success", "quarantine", "cnt_orig", "cnt_dedup")
+
+
+# Orders as an operational table: finished ones are exported, open ones are pending, all others have no status.
+ORDERS = Extract("orders", "orders", "o_orderkey", "o_orderkey BIGINT, o_custkey BIGINT, amount DOUBLE")
+
+
+def _landed(t):
+    """Two batches.  When the second one runs, the source has the marks of the first one's urgent orders only."""
+    status = F.when(F.col("o_orderstatus") == "F", "exported").when(F.col("o_orderstatus") == "O", "pending")
+    early = F.col("o_orderdate") < F.lit(datetime.datetime(1997, 1, 1)).cast("timestamp_ntz")
+    source = t.orders.select(
+        "o_orderkey", "o_custkey", money("o_totalprice").cast("double").alias("amount"), status.alias("status"),
+        early.alias("early"), (F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
+    )
+    landing = extracts.Landing(t.spark, scratch_path(t.spark, "extract"), ORDERS, buckets=8)
+    landing.run(source.filter("early"), "b1")
+    marked = source.withColumn("status", F.when(F.col("early") & F.col("urgent") & (F.col("status") == "pending"), "exported").otherwise(F.col("status")))
+    for _ in range(2):
+        landing.run(marked, "b2")
+    return landing, marked
+
+
+@query("""
+    SELECT o_orderkey, o_custkey, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS amount,
+           CASE WHEN o_orderdate < TIMESTAMP '1997-01-01' THEN 'b1' ELSE 'b2' END AS batch
+    FROM orders WHERE o_orderstatus = 'O'""")
+def extract_landed(t):
+    """Every pending row lands once, though the source has missed marks and the second batch is repeated."""
+    return _landed(t)[0].read()
+
+
+@query("""
+    SELECT o_orderkey FROM orders
+    WHERE o_orderstatus = 'O' AND NOT (o_orderdate < TIMESTAMP '1997-01-01' AND o_orderpriority = '1-URGENT')""")
+def extract_marks(t):
+    """Landed rows that the source still has to mark."""
+    landing, source = _landed(t)
+    return landing.to_mark(source)

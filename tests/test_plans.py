@@ -15,7 +15,7 @@ ACTING = {
     "stream_window_agg_5m", "stream_trades_hourly", "stream_scored_messages", "csv_landing", "json_documents",
     "schema_evolution", "partitioned_table", "discovered_tables", "exported_tables", "migrated_table", "migration_audit",
     "kmeans_clusters", "pca_components", "stream_topic_offsets", "topic_positions", "stream_window_upserts",
-    "dedup_bucketed_history", "merged_profile",
+    "dedup_bucketed_history", "merged_profile", "extract_landed", "extract_marks",
 }
 LAZY = sorted(set(contract.queries()) - ACTING)
 

@@ -57,6 +57,17 @@ class UniqueTable:
         folders = [f"{self.path}/data/{BATCH}={b}" for b in state["data"]]
         return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
 
+    def read_batches(self) -> DataFrame:
+        """As :meth:`read`, with the batch that has added each row in the column ``batch``."""
+        state = self._state()
+        if state["schema"] is None:
+            raise FileNotFoundError(f"no batch is published below {self.path}")
+        schema = T.StructType.fromJson(json.loads(state["schema"]))
+        if BATCH in (name.lower() for name in schema.names):
+            raise ValueError(f"the rows have a column {BATCH} of their own")
+        folders = [f"{self.path}/data/{BATCH}={b}" for b in state["data"]]
+        return self.spark.read.schema(schema.add(BATCH, "string")).option("basePath", f"{self.path}/data").parquet(*folders)
+
     def known_keys(self, key_type: T.StructType) -> DataFrame:
         """The index of published batches: ``_key`` in its buckets."""
         self._register(key_type)
