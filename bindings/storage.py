@@ -13,6 +13,7 @@ from zonelake.plans import migrate as migration
 from zonelake.plans.ingest import Extract
 from zonelake.session import scratch_path
 from zonelake.sources import catalog, readers, sinks
+from zonelake.sources.published import Published
 
 FIRST = datetime.datetime(2024, 1, 1)
 SECOND = datetime.datetime(2024, 1, 2)
@@ -197,3 +198,34 @@ def extract_marks(t):
     """Landed rows that the source still has to mark."""
     landing, source = _landed(t)
     return landing.to_mark(source)
+
+
+def _published(t):
+    """Three tables in two steps, the orders anew in the second, beside a folder that nobody has named."""
+    lake = Published(t.spark, scratch_path(t.spark, "published"))
+    orders = t.orders.select("o_orderkey", "o_orderstatus")
+    lake.publish({"ops/customer": t.customer, "ops/orders": orders.filter("o_orderstatus = 'F'")})
+    lake.publish({"ops/orders": orders, "ops/supplier": t.supplier}, {"ops/orders": ["o_orderstatus"]})
+    t.part.write.parquet(f"{lake.root}/ops/part/staged")
+    return lake
+
+
+@query("""
+    SELECT 'ops/customer' AS "table", CAST(0 AS BIGINT) AS version, COUNT(*) AS n FROM customer
+    UNION ALL SELECT 'ops/orders', 1, COUNT(*) FROM orders UNION ALL SELECT 'ops/supplier', 1, COUNT(*) FROM supplier""")
+def published_tables(t):
+    """Tables that the manifest names, with their versions and rows; no file is listed to find them."""
+    lake = _published(t)
+    return lake.tables().select("table", "version").join(lake.counts(), "table")
+
+
+@query("""
+    SELECT o_orderstatus, COUNT(*) AS orders, (SELECT COUNT(*) FROM customer) AS customers FROM orders GROUP BY 1""")
+def export_sweep(t):
+    """Every published table exported, registered as a view and used from there."""
+    lake = _published(t)
+    lake.export_all(scratch_path(t.spark, "sweep")).register()
+    # By name, as a user of the export does; the views are read into the plan here, so later ones change nothing.
+    return t.spark.sql("""
+        SELECT o_orderstatus, COUNT(*) AS orders, (SELECT COUNT(*) FROM ops_customer) AS customers
+        FROM ops_orders GROUP BY o_orderstatus""")

@@ -16,6 +16,7 @@ ACTING = {
     "schema_evolution", "partitioned_table", "discovered_tables", "exported_tables", "migrated_table", "migration_audit",
     "kmeans_clusters", "pca_components", "stream_topic_offsets", "topic_positions", "stream_window_upserts",
     "dedup_bucketed_history", "merged_profile", "extract_landed", "extract_marks",
+    "published_tables", "export_sweep",
 }
 LAZY = sorted(set(contract.queries()) - ACTING)
 
