@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import threading
+import time
+from collections.abc import Callable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -32,31 +36,117 @@ def scan_objects(spark: SparkSession, root: str, head_bytes: int = HEADER_BYTES,
     )
 
 
-def probe_objects(paths: DataFrame, head_bytes: int = HEADER_BYTES) -> DataFrame:
-    """(path, size, head) for each path that exists; ``paths`` has one distinct ``path`` per row.
+@dataclass(frozen=True)
+class Store:
+    """How the objects whose path starts with ``prefix`` (scheme and all) are reached.
 
-    Each task asks the store for its paths' sizes and first bytes, so the work is the number of references, not the
-    size of the store.  An object that cannot be read gives no row.
+    ``connect`` makes the client: anything with ``get_file_info`` and ``open_input_file`` like a file system of pyarrow,
+    which takes paths without their scheme.  Without it the store is one of S3's kind, at ``endpoint`` if given.
     """
 
-    def probe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow.fs import FileSystem, FileType
-
-        for batch in batches:
-            found = []
-            for path in batch["path"]:
-                try:
-                    store, key = FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
-                    info = store.get_file_info(key)
-                    if info.type != FileType.File:
-                        continue
-                    with store.open_input_file(key) as source:
-                        found.append((path, info.size, source.read(head_bytes)))
-                except (OSError, ValueError):  # missing, unreadable or not a path
-                    continue
-            yield pd.DataFrame(found, columns=["path", "size", "head"])
-
-    return paths.select("path").mapInPandas(probe, "path STRING, size BIGINT, head BINARY")
+    prefix: str
+    endpoint: str | None = None
+    access_key: str | None = field(default=None, repr=False)
+    secret_key: str | None = field(default=None, repr=False)
+    region: str | None = None
+    timeout: float = 10.0
+    connect: Callable[[], object] | None = None
+
+    def client(self):
+        if self.connect is not None:
+            return self.connect()
+        from pyarrow.fs import S3FileSystem
+
+        scheme, _, host = (self.endpoint or "").rpartition("://")
+        given = {"endpoint_override": host, "scheme": scheme, "access_key": self.access_key, "secret_key": self.secret_key, "region": self.region}
+        return S3FileSystem(request_timeout=self.timeout, connect_timeout=self.timeout, **{k: v for k, v in given.items() if v})
+
+
+class _Clients:
+    """One client for each store inside a task."""
+
+    def __init__(self, stores: tuple[Store, ...]):
+        self.stores = sorted(stores, key=lambda s: -len(s.prefix))
+        self.made: dict[str, object] = {}
+        self.lock = threading.Lock()
+
+    def of(self, path: str):
+        """(client, key of the object); ValueError if this is no path of a store."""
+        for store in self.stores:
+            if path.startswith(store.prefix):
+                return self._kept(store.prefix, store.client), path.partition("://")[2]
+        from pyarrow.fs import FileSystem
+
+        uri = path.replace("s3a://", "s3://", 1)
+        scheme, mark, rest = uri.partition("://")
+        host, _, key = rest.partition("/")
+        if not mark or not host:
+            return FileSystem.from_uri(uri)
+        client = self._kept(f"{scheme}://{host}", lambda: FileSystem.from_uri(f"{scheme}://{host}")[0])
+        return client, f"{host}/{key}" if scheme in ("s3", "gs", "gcs") else f"/{key}"
+
+    def _kept(self, name: str, make: Callable[[], object]):
+        with self.lock:
+            if name not in self.made:
+                self.made[name] = make()
+            return self.made[name]
+
+
+def _ask(clients: _Clients, path: str, head_bytes: int, attempts: int, pause: float) -> tuple:
+    from pyarrow.fs import FileType
+
+    for attempt in range(attempts):
+        if attempt:
+            time.sleep(pause * 2 ** (attempt - 1))
+        try:
+            client, key = clients.of(path)
+            info = client.get_file_info(key)
+            if info.type != FileType.File:
+                return path, "missing", None, None, None
+            with client.open_input_file(key) as source:
+                return path, "found", info.size, source.read(head_bytes), None
+        except (FileNotFoundError, ValueError):  # gone meanwhile, or not a path
+            return path, "missing", None, None, None
+        except OSError as problem:  # no answer, or no access: this says nothing about the object
+            error = f"{type(problem).__name__}: {problem}"
+    return path, "failed", None, None, error
+
+
+def ask_objects(
+    paths: DataFrame, stores: Sequence[Store] = (), head_bytes: int = HEADER_BYTES, attempts: int = 3, pause: float = 0.2, requests: int = 16,
+) -> DataFrame:
+    """(path, outcome, size, head, error) for each row of ``paths``, which has one distinct ``path`` per row.
+
+    ``found``: with size and first bytes.  ``missing``: the store says that there is no such object, or this is no path.
+    ``failed``: the store gave no answer, or no access, ``attempts`` times, with pauses that double; nothing is known about the
+    object.  Each task has one client a store and up to ``requests`` requests under way, so the work is the number of
+    references, not the size of the store.  ``stores`` says how to reach some of them; the longest prefix counts.
+    """
+    stores = tuple(stores)
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        clients = _Clients(stores)
+        with ThreadPoolExecutor(requests) as pool:
+            for batch in batches:
+                found = list(pool.map(lambda path: _ask(clients, path, head_bytes, attempts, pause), batch["path"]))
+                out = pd.DataFrame(found, columns=["path", "outcome", "size", "head", "error"])
+                yield out.astype({"size": "Int64"})
+
+    return paths.filter(F.col("path").isNotNull()).select("path").mapInPandas(
+        ask, "path STRING, outcome STRING, size BIGINT, head BINARY, error STRING"
+    )
+
+
+def probe_objects(paths: DataFrame, stores: Sequence[Store] = (), head_bytes: int = HEADER_BYTES, **options) -> DataFrame:
+    """(path, size, head) for each path that exists, as :func:`ask_objects` finds it.
+
+    If a store fails the job fails with it, so that no row counts as one without its file because of the store.
+    """
+    asked = ask_objects(paths, stores, head_bytes, **options)
+    answered = F.when(F.col("outcome") != "failed", F.col("outcome")).otherwise(
+        F.raise_error(F.concat(F.lit("no answer about "), "path", F.lit(": "), F.coalesce("error", F.lit(""))))
+    )
+    return asked.filter(answered == "found").select("path", "size", "head")
 
 
 @F.pandas_udf(T.StructType().add("width", T.LongType()).add("height", T.LongType()))
