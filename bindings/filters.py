@@ -67,9 +67,8 @@ def drop_incomplete(t):
     FROM orders GROUP BY 1""")
 def membership_split(t):
     listed = t.lineitem.filter("l_discount > 0.095D").select("l_orderkey")
-    inside, outside = filters.split_by_membership(t.orders.select("o_orderkey"), listed, "o_orderkey")
-    parts = [p.agg(F.count(F.lit(1)).alias("n")).select(F.lit(f).alias("listed"), "n") for p, f in ((inside, True), (outside, False))]
-    return parts[0].unionByName(parts[1])
+    flagged = filters.flag_membership(t.orders.select("o_orderkey"), listed, "o_orderkey")
+    return flagged.groupBy("listed").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""

@@ -71,6 +71,8 @@ def test_split_by_membership_keeps_null_rows(spark, rows):
     df = spark.createDataFrame([("a",), ("b",), (None,)], "k STRING")
     inside, outside = filters.split_by_membership(df, spark.createDataFrame([("a",), (None,)], "m STRING"), "k")
     assert rows(inside) == [("a",)] and rows(outside) == [(None,), ("b",)]
+    members = spark.createDataFrame([("a",), ("a",), (None,)], "m STRING")
+    assert rows(filters.flag_membership(df, members, "k")) == [(None, False), ("a", True), ("b", False)]
 
 
 def test_pending_rows(spark, rows):

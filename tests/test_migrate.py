@@ -60,6 +60,32 @@ def test_staged_rows_of_a_dead_run_stay_invisible(spark, tmp_path, rows, monkeyp
     assert rows(m.migrate(spark, base, PLAIN)) == [("a", 1)]
 
 
+def test_a_run_that_dies_around_the_naming_keeps_one_record(spark, tmp_path, rows, monkeypatch):
+    base = str(tmp_path)
+    land(spark, base, PLAIN, 1, [("a", 1)])
+    land(spark, base, PLAIN, 2, [("b", 99)])
+
+    class Dead(BaseException):
+        """The process ends: nothing is caught."""
+
+    def die(*_):
+        raise Dead
+
+    settle = m._settle
+    with monkeypatch.context() as patch:  # between the record and the name
+        patch.setattr(m, "_settle", die)
+        with pytest.raises(Dead):
+            m.migrate(spark, base, PLAIN)
+    assert m.read_audit(spark, base, PLAIN).isEmpty()
+    with monkeypatch.context() as patch:  # right after the name
+        patch.setattr(m, "_settle", lambda *a: (settle(*a), die()))
+        with pytest.raises(Dead):
+            m.migrate(spark, base, PLAIN)
+    assert rows(m.read_trusted(spark, base, PLAIN)) == [("a", 1)]
+    m.migrate(spark, base, PLAIN)
+    assert sorted((r.landing_table[-8], r.success, r.quarantine) for r in m.read_audit(spark, base, PLAIN).collect()) == [("1", True, False), ("2", False, True)]
+
+
 def test_row_quarantine_by_files(spark, tmp_path, rows, store):  # noqa: F811
     dataset = m.Dataset("ops", "docs", ("k",), quality.Suite("d", (quality.NotNull("k"),)), file_columns=("path",))
     base = str(tmp_path / "lake")

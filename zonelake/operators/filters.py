@@ -58,10 +58,18 @@ def drop_incomplete(df: DataFrame, columns: list[str] | None = None) -> DataFram
     return df.dropna(subset=columns)
 
 
+def flag_membership(df: DataFrame, members: DataFrame, column: str, name: str = "listed") -> DataFrame:
+    """Add a boolean, never NULL: the value is in ``members``.  One join for both answers."""
+    listed = members.select(F.col(members.columns[0]).alias("_member")).dropna().distinct().withColumn("_hit", F.lit(True))
+    flagged = df.join(listed, F.col(column) == F.col("_member"), "left")
+    return flagged.withColumn(name, F.coalesce("_hit", F.lit(False))).drop("_member", "_hit")
+
+
 def split_by_membership(df: DataFrame, members: DataFrame, column: str) -> tuple[DataFrame, DataFrame]:
     """(rows whose value is in ``members``, all other rows).  NULL values are in the second part.
 
-    Members are made distinct, which combines a frequent one before the shuffle.
+    Members are made distinct, which combines a frequent one before the shuffle.  Each part has its own join, which suits
+    users of one of them; :func:`flag_membership` answers for all rows at once.
     """
     listed = members.select(F.col(members.columns[0]).alias(column)).dropna().distinct()
     return df.join(listed, column, "left_semi"), df.join(listed, column, "left_anti")

@@ -172,7 +172,15 @@ def read_quarantine(spark: SparkSession, base: str, dataset: Dataset) -> DataFra
 
 
 def read_audit(spark: SparkSession, base: str, dataset: Dataset) -> DataFrame:
-    return spark.read.schema(AUDIT_SCHEMA).json(f"{dataset.trusted_root(base)}/_audit")
+    """One record for each settled snapshot and for each run that failed.
+
+    Records are written before their batch is named; those of a batch that never was are left out.
+    """
+    records = spark.read.schema(f"{AUDIT_SCHEMA}, {BATCH} STRING").json(f"{dataset.trusted_root(base)}/_audit")
+    ledger = read_ledger(spark, ledger_path(base, dataset)).filter(F.col("property").isin("exported_batch", "quarantine_batch"))
+    named = ledger.select(F.col("table").alias("landing_table"), F.col("value").alias(BATCH)).distinct()
+    settled = records.filter(F.col(BATCH).isNotNull()).join(named, ["landing_table", BATCH], "left_semi")
+    return settled.unionByName(records.filter(F.col(BATCH).isNull())).drop(BATCH)
 
 
 # ---------------------------------------------------------------- the run
@@ -260,7 +268,7 @@ def _audit_rows(found: _Round, names: list[str], stamp: str) -> list[tuple]:
         (
             name, stamp, found.passed(name), None, found.incoming, found.outgoing, found.before.get(name, 0),
             found.after.get(name, 0), json.dumps(sorted(found.rules.get(name, []), key=lambda r: r["rule"])),
-            not found.passed(name), found.bad_files.get(name, 0),
+            not found.passed(name), found.bad_files.get(name, 0), found.batch,
         )
         for name in names
     ]
@@ -276,18 +284,19 @@ def migrate(spark: SparkSession, base: str, dataset: Dataset, probe=probe_object
 
     def audit(rows: list[tuple]) -> None:
         folder = f"{dataset.trusted_root(base)}/_audit"
-        spark.createDataFrame(rows, AUDIT_SCHEMA).coalesce(1).write.mode("append").json(folder)
+        spark.createDataFrame(rows, f"{AUDIT_SCHEMA}, {BATCH} STRING").coalesce(1).write.mode("append").json(folder)
 
     while pending:
         try:
             found = _stage(spark, base, dataset, pending, probe)
             failed = next((name for name in pending if not found.passed(name)), None)
             good = pending if failed is None else pending[: pending.index(failed)]
+            settled = good if failed is None else [*good, failed]
+            # First the record, then the name that makes it count, so that a run that dies in between loses neither.
+            audit(_audit_rows(found, settled, stamp))
             _settle(spark, base, dataset, found, good, failed)
         except Exception as problem:
-            audit([(name, stamp, False, str(problem), *[None] * 7) for name in pending])
+            audit([(name, stamp, False, str(problem), *[None] * 8) for name in pending])
             raise
-        settled = good if failed is None else [*good, failed]
-        audit(_audit_rows(found, settled, stamp))
         pending = pending[len(settled) :]
     return read_trusted(spark, base, dataset)
