@@ -4,6 +4,9 @@ Lengths are put in classes.  Combinations of few classes that fill a window exac
 squares problem whose right side is the histogram of classes; its solution, rounded, says how often each combination
 is used.  What the rounding leaves is packed greedily.  All of this works on the histogram, which has the same size
 for any number of documents; Spark tokenizes, counts, ranks the pieces within their class and hands out the places.
+
+Documents whose order matters are cut into stretches of that order first.  Each stretch is packed so by itself, one task a
+stretch for its strategies, and the sequences follow the order.
 """
 
 from __future__ import annotations
@@ -17,15 +20,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from zonelake.llm.common import slices, stage
+from zonelake.llm.common import free_name, slices, stage
 
 WINDOW, END_ID = 4096, 2
 #: Tokens of a class of lengths, classes of one combination at most, pieces that are ranked together.
 GRAIN, DEPTH, RUN_ROWS = 16, 3, 4096
+#: Documents that are packed among themselves if their order matters.
+STRETCH = 16384
 #: Words whose ids a task remembers.
 MEMORY = 600_000
 
@@ -151,9 +157,12 @@ def word_ids(path: str) -> WordIds:
     return kept[path]
 
 
-def cut_documents(docs: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens.  A null text has only the end id."""
-    slim = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+def cut_documents(
+    docs: DataFrame, path: str, window: int = WINDOW, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()
+) -> DataFrame:
+    """Pieces of all documents: doc_id, start, length, ids_crc32, doc_tokens, and the columns ``keep`` of their document.
+    A null text has only the end id."""
+    slim = docs.select(F.col(key).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"), *keep)
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,16 +182,21 @@ def cut_documents(docs: DataFrame, path: str, window: int = WINDOW, key: str = "
                             length.append(size)
                             crc.append(zlib.crc32(ids[4 * a : 4 * (a + size)]))
                             tokens.append(n)
+                    owner = pa.array(row, pa.int64())
                     yield pa.RecordBatch.from_arrays(
-                        [part.column("doc_id").take(pa.array(row, pa.int64())), *[pa.array(c, pa.int64()) for c in (start, length, crc, tokens)]],
-                        names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
+                        [
+                            part.column("doc_id").take(owner), *[pa.array(c, pa.int64()) for c in (start, length, crc, tokens)],
+                            *[part.column(c).take(owner) for c in keep],
+                        ],
+                        names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", *keep],
                     )
         finally:
             if collects:
                 gc.enable()
 
     kind = slim.schema["doc_id"].dataType.simpleString()
-    return slim.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long")
+    kept = "".join(f", {c} {slim.schema[c].dataType.simpleString()}" for c in keep)
+    return slim.mapInArrow(run, f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long{kept}")
 
 
 def combinations(size: int, depth: int) -> list[tuple[int, ...]]:
@@ -268,6 +282,23 @@ def strategies(histogram: np.ndarray, depth: int = DEPTH) -> list[tuple[tuple[in
     return plan
 
 
+def class_ranges(plan: list[tuple[tuple[int, ...], int]], size: int) -> list[tuple[int, int, int, int, int, int]]:
+    """(class, lo, hi, per, first, room): the pieces of ranks lo to hi of a class go ``per`` each into sequences from ``first``,
+    which hold them and the classes below in their last ``room`` grains."""
+    ranges, first = {}, 0
+    for parts, times in plan:
+        for c in sorted(set(parts), reverse=True):
+            ranges.setdefault(c, []).append((parts.count(c), times, first, size - sum(p for p in parts if p >= c)))
+        first += times
+    rows = []
+    for c, uses in ranges.items():
+        at = 0
+        for per, times, sequence, after in uses:
+            rows.append((c, at, at + per * times, per, sequence, after))
+            at += per * times
+    return rows
+
+
 def pack(pieces: DataFrame, window: int = WINDOW, grain: int = GRAIN, depth: int = DEPTH, run_rows: int = RUN_ROWS) -> DataFrame:
     """Give every piece (with ``length`` up to ``window``) its sequence_id and offset.
 
@@ -280,18 +311,7 @@ def pack(pieces: DataFrame, window: int = WINDOW, grain: int = GRAIN, depth: int
     histogram = np.zeros(size, np.int64)
     for c, n in classed.groupBy("class").count().collect():  # at most ``size`` rows
         histogram[c - 1] = n
-    plan = strategies(histogram, depth)
-    ranges, first = {}, 0
-    for parts, times in plan:
-        for c in sorted(set(parts), reverse=True):
-            ranges.setdefault(c, []).append((parts.count(c), times, first, size - sum(p for p in parts if p >= c)))
-        first += times
-    rows = []
-    for c, uses in ranges.items():
-        at = 0
-        for per, times, sequence, after in uses:
-            rows.append((c, at, at + per * times, per, sequence, after))
-            at += per * times
+    rows = class_ranges(strategies(histogram, depth), size)
     places = spark.createDataFrame(rows, "class int, lo long, hi long, per long, first long, room long")
     # Rank within the class in runs of a hash, so that a class of any size is spread.
     runs = max(1, -(-int(histogram.max(initial=0)) // run_rows))
@@ -313,6 +333,70 @@ def pack(pieces: DataFrame, window: int = WINDOW, grain: int = GRAIN, depth: int
     return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def pack_in_order(pieces: DataFrame, window: int = WINDOW, grain: int = GRAIN, depth: int = DEPTH, stretch: int = STRETCH) -> DataFrame:
+    """As :func:`pack`, along the order of ``at``, the place of a piece's document among all documents, from 0.
+
+    The documents of places k * stretch to (k + 1) * stretch share no sequence with others, and their sequences come after
+    those of all documents before.  Inside a stretch sequences are in the order of their earliest document, and of one
+    class earlier documents come first.  Sequences are numbered from 0 without gaps.
+    """
+    spark = pieces.sparkSession
+    size = window // grain
+    classed = pieces.withColumns({"class": F.ceil(F.col("length") / grain).cast("int"), "stretch": F.floor(F.col("at") / stretch)})
+    counts = classed.groupBy("stretch", "class").agg(F.count(F.lit(1)).alias("n"))
+    # Few rows, but each takes a task about a second: they stay spread.
+    spread = counts.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "stretch")
+    counts = spread.groupBy("stretch").agg(F.collect_list("class").alias("classes"), F.collect_list("n").alias("ns"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["class", "lo", "hi", "per", "first", "room"]
+        for batch in batches:
+            for k, classes, ns in zip(*(batch.column(c).to_pylist() for c in ("stretch", "classes", "ns"))):
+                histogram = np.zeros(size, np.int64)
+                histogram[np.array(classes) - 1] = ns
+                found = np.array(class_ranges(strategies(histogram, depth), size), np.int64)
+                columns = [pa.array(np.full(len(found), k)), pa.array(found[:, 0].astype(np.int32)), *map(pa.array, found[:, 1:].T.copy())]
+                yield pa.RecordBatch.from_arrays(columns, names=["stretch", *names])
+
+    places = counts.mapInArrow(run, "stretch long, class int, lo long, hi long, per long, first long, room long")
+    places = stage(places, "places")
+    ends = places.groupBy("stretch").agg(F.max(F.col("first") + (F.col("hi") - F.col("lo")) / F.col("per")).cast("long").alias("n"))
+    before = W.orderBy("stretch").rowsBetween(W.unboundedPreceding, -1)  # a row a stretch
+    bases = ends.select("stretch", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    ranked = classed.withColumn("rank", F.row_number().over(W.partitionBy("stretch", "class").orderBy("at", "start")) - 1)
+    placed = ranked.join(places, ["stretch", "class"]).filter((F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi")))
+    placed = placed.withColumn("sequence", F.col("first") + F.floor((F.col("rank") - F.col("lo")) / F.col("per")))
+    whole = W.partitionBy("stretch", "sequence")
+    inside = whole.orderBy(F.col("class").desc(), "rank").rowsBetween(W.unboundedPreceding, -1)
+    placed = placed.withColumns({"offset": F.coalesce(F.sum("length").over(inside), F.lit(0)), "head": F.min("at").over(whole)})
+    nth = F.dense_rank().over(W.partitionBy("stretch").orderBy("head", "sequence")) - 1
+    placed = placed.withColumn("nth", nth).join(bases, "stretch").withColumn("sequence_id", F.col("base") + F.col("nth"))
+    return placed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
+def pack_documents_in_order(docs: DataFrame, path: str | None = None, window: int = WINDOW, stretch: int = STRETCH) -> DataFrame:
+    """As :func:`pack_documents`, with sequences that follow the documents: those of the first ``stretch`` documents come
+    first, and so on (see :func:`pack_in_order`).
+
+    Documents read from files are in the order of the files' names, as Spark numbers them, and of the rows in each file;
+    those of any other frame in the order of its partitions and their rows.
+    """
+    part, row = free_name(docs, "part"), free_name(docs, "row")
+    try:
+        placed = docs.select("*", F.col("_metadata.file_path").alias(part), F.col("_metadata.row_index").alias(row))
+    except AnalysisException:
+        place = F.monotonically_increasing_id()
+        placed = docs.withColumn(row, place).withColumn(part, F.lpad(F.shiftright(row, 33).cast("string"), 10, "0"))
+        placed = placed.withColumn(row, F.col(row).bitwiseAND((1 << 33) - 1))
+    pieces = stage(cut_documents(placed, path or vocabulary_path(), window, keep=(part, row)), "pieces")
+    sizes = pieces.groupBy(F.col(part).alias("p")).agg((F.max(row) + 1).alias("n"))
+    # A row a file.  A longer number comes later.
+    before = W.orderBy(F.length("p"), "p").rowsBetween(W.unboundedPreceding, -1)
+    starts = sizes.select("p", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("low"))
+    pieces = pieces.join(starts, F.col(part) == F.col("p")).withColumn("at", F.col("low") + F.col(row))
+    return pack_in_order(pieces.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "at"), window, stretch=stretch)
+
+
 def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDOW) -> DataFrame:
     """All pieces of all documents with their places.  Null and empty texts are one piece of the end id alone; rows
     that repeat an id are packed each; an empty table gives no rows."""
