@@ -30,15 +30,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def stage_buckets(df: DataFrame, name: str, key: str) -> DataFrame:
-    """As :func:`stage`, dealt into buckets of ``key``, so that joins by it leave these rows where they are."""
+def stage_buckets(df: DataFrame, name: str, key: str, dealt: bool = False) -> DataFrame:
+    """As :func:`stage`, dealt into buckets of ``key``, so that joins by it leave these rows where they are.
+
+    ``dealt``: the rows come from a ``repartition`` by this key to as many partitions as shuffles have.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     table = f"staged_{path.rpartition('-')[2]}"
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if _noting[0]:
         _staged.append(path)
-    out = df.repartition(n, key).write.format("parquet").option("compression", "zstd").option("path", path)
+    out = (df if dealt else df.repartition(n, key)).write.format("parquet").option("compression", "zstd").option("path", path)
     out.bucketBy(n, key).sortBy(key).saveAsTable(table)
     return spark.table(table)
 

@@ -1,4 +1,4 @@
-"""Connected components by hooking and pointer jumping, all in Spark."""
+"""Connected components by hooking, pointer jumping and contraction, all in Spark."""
 
 from __future__ import annotations
 
@@ -11,22 +11,26 @@ from zonelake.llm.common import stage
 def components(edges: DataFrame, left: str = "a", right: str = "b") -> DataFrame:
     """(v, c): every vertex of an edge with the smallest vertex that it reaches.  No edges, no rows.
 
-    Each round every label takes the smallest label next to any of its vertices, then labels point to labels of
-    labels.  Rounds are about the logarithm of the longest path; each is written before the next.
+    Each round every vertex takes the smallest of itself and its neighbours, then what that one takes, and the edges go on
+    between the vertices so taken until none is left.  The edge by which a vertex takes another is one of them, so that no
+    connection is lost; the smallest vertex of a component always takes itself.  Rounds are about the logarithm of the
+    longest path; each is written before the next.
     """
     there = edges.filter(F.col(left) != F.col(right)).select(F.col(left).alias("a"), F.col(right).alias("b"))
-    both = stage(there.unionByName(there.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
-    labels = stage(both.groupBy(F.col("a").alias("v")).agg(F.least(F.first("a"), F.min("b")).alias("c")), "labels")
+    both = stage(there.unionByName(there.select(F.col("b").alias("a"), F.col("a").alias("b"))), "edges")
+    labels = None
     while True:
-        near = both.join(labels, F.col("b") == F.col("v")).groupBy(F.col("a").alias("w")).agg(F.min("c").alias("m"))
-        seen = labels.join(near, F.col("v") == F.col("w"), "left").select("v", "c", F.least("c", F.coalesce("m", "c")).alias("m"))
-        hooks = seen.groupBy(F.col("c").alias("k")).agg(F.min("m").alias("r"))
-        moved = seen.join(hooks, F.col("c") == F.col("k")).select("v", F.col("c").alias("was"), F.col("r").alias("c"))
-        moved = stage(moved, "hooks")
-        jump = moved.select(F.col("v").alias("k"), F.col("c").alias("r"))
-        new = moved.join(jump, F.col("c") == F.col("k"), "left").select("v", "was", F.coalesce("r", "c").alias("c"))
-        new = stage(new, "labels")
-        done = new.filter(F.col("c") != F.col("was")).isEmpty()
-        labels = new.select("v", "c")
-        if done:
+        taken = both.groupBy(F.col("a").alias("v")).agg(F.least(F.first("a"), F.min("b")).alias("p"))
+        onward = taken.select(F.col("v").alias("k"), F.col("p").alias("c"))
+        taken = stage(taken.join(onward, F.col("p") == F.col("k")).select("v", "c"), "taken")
+        if labels is None:
+            labels = taken
+        else:
+            new = taken.select(F.col("v").alias("k"), F.col("c").alias("r"))
+            labels = labels.join(new, F.col("c") == F.col("k"), "left").select("v", F.coalesce("r", "c").alias("c"))
+            labels = stage(labels, "labels")
+        one, two = taken.select(F.col("v").alias("a"), F.col("c").alias("x")), taken.select(F.col("v").alias("b"), F.col("c").alias("y"))
+        moved = both.join(one, "a").join(two, "b").filter(F.col("x") != F.col("y"))
+        both = stage(moved.select(F.col("x").alias("a"), F.col("y").alias("b")), "edges")
+        if both.isEmpty():
             return labels

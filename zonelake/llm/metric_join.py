@@ -11,11 +11,12 @@ document is the pivot, distances to it are computed exactly, and the triangle in
   as only documents of the same or of neighbouring rings can be within e of each other.
 
 Large first regions that have the same pivot are one region.  Regions with documents of one component only are done; the
-others are joined again with new pivots, small ones pair by pair.  Regions that rings no longer part are first walked in
-a few random orders, where documents of different components that follow each other are compared: a group of near copies
-is then mostly one component, and only pairs of documents that are still apart remain.  A pair of a first region needs room behind the places
-of its shingle, and sets differ by at least the parities in which they differ; profiles, vectors of counts whose distance
-bounds that of the sets from below, spare most of the other pairs their texts.  Documents with equal sets are one vertex.
+others are joined again with new pivots, small ones pair by pair.  Regions that rings no longer part are cut into blocks,
+and pairs of blocks are compared: first each document with the closest of another component, so that a group of near
+copies is mostly one component, then all that are still apart.  A pair of a first region needs fitting sizes and room
+behind the places of its shingle, and sets differ by at least the parities in which they differ; profiles, vectors of
+counts whose distance bounds that of the sets from below, spare most of the other pairs their texts.  They grow with the
+set, so that long unrelated documents are told apart as well as short ones.  Documents with equal sets are one vertex.
 """
 
 from __future__ import annotations
@@ -36,13 +37,16 @@ WORDS, PERCENT = 5, 80
 #: Cells of a task's counts of shingles, documents of a task that make a shingle common, common shingles at most, and
 #: cells that common shingles mark.  They only set the order of shingles: any order gives the same links.
 COUNTERS, COMMON_ROWS, COMMON, MARKS = 1 << 23, 3, 1 << 20, 1 << 24
-#: Groups of shingles that a set's profile counts: what two profiles differ by, the sets differ by at least.
-GROUPS = 128
+#: Groups of shingles that a set's profile counts at least and at most; between, there is one for one or two shingles.  What
+#: two profiles differ by, the sets differ by at least.
+GROUPS, MOST_GROUPS = 128, 1 << 16
 #: Groups of shingles of which a set has an even or odd number, as the bits of these columns.
 PARITIES = ["odd0", "odd1", "odd2", "odd3"]
-#: Documents of a region that is joined pair by pair; levels of rings before larger ones are joined so, too; orders in
-#: which these are walked before.
-LEAF, LEVELS, WALKS = 128, 2, 3
+#: Documents of a region that is joined pair by pair; levels of rings before larger ones are joined so, too; documents of
+#: the blocks that these are cut into.  Each document goes to a task once for each block of its region.
+LEAF, LEVELS, BLOCK = 128, 2, 1024
+#: Cells of a table that marks texts to be fetched, and bytes of profiles that are compared at once.
+CELLS, PROFILE_BYTES = 1 << 24, 1 << 22
 
 #: Bytes of the longest word whose hash is a sum of powers.
 LONG_WORD = 32
@@ -105,10 +109,40 @@ def signature(shingles: np.ndarray) -> int:
 
 def profile(shingles: np.ndarray) -> bytes:
     """Counts of shingles by group, at most 255 each."""
-    counts = np.bincount((shingles >> np.uint64(64 - GROUPS.bit_length() + 1)).astype(np.int64), minlength=GROUPS)
+    groups = min(max(GROUPS, 1 << max(len(shingles) - 1, 1).bit_length() - 1), MOST_GROUPS)
+    counts = np.bincount((shingles >> np.uint64(64 - groups.bit_length() + 1)).astype(np.int64), minlength=groups)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
+def profiles_apart(profiles: list[bytes], i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """What the sets of ``profiles[i]`` and ``profiles[j]`` differ by at least; a finer profile is summed up to the other's groups."""
+    lengths = np.array([len(p) for p in profiles], np.int64)
+    out = np.zeros(len(i), np.int64)
+    folded: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+    def rows(groups: int) -> tuple[np.ndarray, np.ndarray]:
+        if groups not in folded:
+            able = np.flatnonzero((lengths >= groups) & (lengths <= 4 * groups))
+            at = np.zeros(len(profiles), np.int64)
+            at[able] = np.arange(len(able))
+            held = np.zeros((len(able), groups), np.int16)
+            for k, x in enumerate(able.tolist()):
+                held[k] = np.minimum(np.frombuffer(profiles[x], np.uint8).reshape(groups, -1).sum(axis=1, dtype=np.int16), 255)
+            folded[groups] = at, held
+        return folded[groups]
+
+    least, most = np.minimum(lengths[i], lengths[j]), np.maximum(lengths[i], lengths[j])
+    for groups in np.unique(least).tolist():
+        at, counts = rows(groups)
+        # Sets of fitting sizes have profiles of the same or the next length; for others 0 is a bound, too.
+        mine = np.flatnonzero((least == groups) & (most <= 4 * groups))
+        step = max(1, PROFILE_BYTES // groups)
+        for k in range(0, len(mine), step):
+            some = mine[k : k + step]
+            out[some] = np.abs(counts[at[i[some]]] - counts[at[j[some]]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def parities(shingles: np.ndarray) -> np.ndarray:
     """Whether each group has an odd number of shingles, 64 groups to a long."""
     counts = np.bincount((shingles & np.uint64(64 * len(PARITIES) - 1)).astype(np.int64), minlength=64 * len(PARITIES))
@@ -217,38 +251,62 @@ def first_regions(docs: DataFrame, text: str, words: int, percent: int, marks: n
     return slim.mapInArrow(run, "region long, sig long, n long, place long")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig")))
+
+
+def _with_both(pairs: DataFrame, table: DataFrame, columns: list[str], name: str) -> DataFrame:
+    """The pairs (a, b) with what ``table`` has about both, ``columns`` of b as ``columns_b``.  ``pairs`` must be staged; only
+    the rows that they need leave the table."""
+    few = stage(table.join(_ends(pairs), "sig", "left_semi").select("sig", *columns), name)
+    one = few.withColumnRenamed("sig", "a")
+    two = few.select(F.col("sig").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    return pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", *columns, *[f"{c}_b" for c in columns])
+
+
 def plausible(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose profiles leave room for a likeness of ``percent`` / 100.  None that links is lost."""
-    one = profiles.select(F.col("sig").alias("a"), F.col("n"), F.col("profile").alias("p"))
-    two = profiles.select(F.col("sig").alias("b"), F.col("n").alias("m"), F.col("profile").alias("q"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "n", "m", "p", "q")
+    """The pairs (a, b) whose profiles leave room for a likeness of ``percent`` / 100.  None that links is lost.
+
+    ``pairs`` must be staged.
+    """
+    both = _with_both(pairs, profiles, ["n", "profile"], "few-profiles")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = lambda c: np.frombuffer(b"".join(c.to_pylist()), np.uint8).astype(np.int64).reshape(-1, GROUPS)
         for batch in batches:
-            apart = np.abs(counts(batch.column("p")) - counts(batch.column("q"))).sum(axis=1)
-            total = batch.column("n").to_numpy() + batch.column("m").to_numpy()
-            keep = pa.array((total - apart) * 100 >= (total + apart) * percent)
-            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], names=["a", "b"])
+            for part in slices(batch, "profile"):
+                k = np.arange(len(part))
+                apart = profiles_apart(part.column("profile").to_pylist() + part.column("profile_b").to_pylist(), k, k + len(part))
+                total = part.column("n").to_numpy() + part.column("n_b").to_numpy()
+                keep = pa.array((total - apart) * 100 >= (total + apart) * percent)
+                yield pa.RecordBatch.from_arrays([part.column("a").filter(keep), part.column("b").filter(keep)], names=["a", "b"])
 
     return both.mapInArrow(run, "a long, b long")
 
 
-def distances(pairs: DataFrame, pool: DataFrame, words: int) -> DataFrame:
-    """(a, b, shared, united) of every pair (a, b), from the texts in ``pool`` (sig, text), a table in buckets of sig.
+def fetched(docs: DataFrame, key: str, text: str, profiles: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(sig, text) of the sets ``wanted`` (sig), one text of each.
 
-    ``pairs`` must be staged.  Only the texts that they need leave the buckets.
+    A table of fixed size marks the rows that are wanted, so that few others leave their place.
     """
-    ends = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    pool = stage(pool.join(ends, "sig").select("sig", "text"), "texts")
-    one = pool.select(F.col("sig").alias("a"), F.col("text").alias("text_a"))
-    two = pool.select(F.col("sig").alias("b"), F.col("text").alias("text"))
-    both = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "text_a", "text")
+    wanted = stage(profiles.select("sig", "k", "tk").join(wanted, "sig", "left_semi"), "wanted")
+    cell = F.pmod(F.xxhash64("k", "tk"), F.lit(CELLS))
+    word, bit = F.shiftright(cell, 6).alias("word"), (cell % 64).cast("int").alias("bit")
+    words = wanted.select(word, bit).groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits"))
+    texts = docs.select(F.xxhash64(key).alias("k"), text_key(key, text).alias("tk"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    texts = texts.select("*", word, bit).join(F.broadcast(words), "word")  # at most CELLS / 64 rows
+    texts = texts.filter(F.expr("shiftrightunsigned(bits, bit) & 1 = 1")).select("k", "tk", "text")
+    found = texts.join(wanted, ["k", "tk"]).dropDuplicates(["k", "tk"]).select("sig", "text")
+    return stage(found, "pool")
+
+
+def distances(pairs: DataFrame, pool: DataFrame, words: int) -> DataFrame:
+    """(a, b, shared, united) of every pair (a, b), from the texts in ``pool`` (sig, text).  ``pairs`` must be staged."""
+    both = _with_both(pairs, pool, ["text"], "texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                left, right = shingle_sets(*text_of(part.column("text_a")), words), _sets_of(part, words)
+                left, right = shingle_sets(*text_of(part.column("text")), words), shingle_sets(*text_of(part.column("text_b")), words)
                 shared = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in zip(left, right)]
                 united = [len(x) + len(y) - s for x, y, s in zip(left, right, shared)]
                 yield pa.RecordBatch.from_arrays(
@@ -264,39 +322,26 @@ def _sized(percent: int, x: str = "n", y: str = "m"):
 
 
 def _open_regions(regions: DataFrame, known: DataFrame) -> DataFrame:
-    """Regions (region, sig, n, place) whose documents are of more than one component, with their component c."""
-    found = regions.join(known, regions["sig"] == known["v"], "left").select("region", "sig", "n", "place", F.coalesce("c", "sig").alias("c"))
-    span = found.groupBy("region").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size"))
-    return found.join(span.filter(F.col("low") != F.col("high")).select("region", "size"), "region")
+    """Regions (region, home, sig, n, place) whose documents are of more than one component, with their component c and size."""
+    found = regions.join(known, regions["sig"] == known["v"], "left").select("region", "home", "sig", "n", "place", F.coalesce("c", "sig").alias("c"))
+    by = W.partitionBy("region")
+    found = found.withColumns({"low": F.min("c").over(by), "high": F.max("c").over(by), "size": F.count(F.lit(1)).over(by)})
+    return found.filter(F.col("low") != F.col("high")).drop("low", "high")
 
 
-def _pairs_of(regions: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a < b) of one region and different components whose sizes, places and parities allow the likeness.
+def _small_pairs(regions: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a < b) of one region and different components whose sizes, places and parities allow the likeness, for regions
+    of a bounded number of documents.
 
-    A linked pair passes in the region of its first common shingle, behind which all the others lie in both sets.
+    Regions of one ``home`` are compared inside one task, and each of their pairs leaves it once.  A linked pair passes in
+    the region of its first common shingle, behind which all the others lie in both sets.
     """
-    marked = regions.select("region", "sig", "n", "place", "c").join(profiles.select("sig", *PARITIES), "sig")
-    x = marked.select("region", F.col("sig").alias("a"), "n", F.col("place").alias("i"), F.col("c").alias("ca"), *PARITIES)
-    y = marked.select(
-        F.col("region").alias("r"), F.col("sig").alias("b"), F.col("n").alias("m"), F.col("place").alias("j"),
-        F.col("c").alias("cb"), *[F.col(c).alias(f"{c}_b") for c in PARITIES],
-    )
-    met = (F.col("region") == F.col("r")) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sized(percent)
-    total = F.col("n") + F.col("m")
-    room = F.least(F.col("n") - F.col("i"), F.col("m") - F.col("j")) * (100 + percent) >= total * percent
-    apart = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"{c}_b"))) for c in PARITIES), F.lit(0))
-    return x.join(y, met & room & ((total - apart) * 100 >= (total + apart) * percent)).select("a", "b")
-
-
-def _small_pairs(regions: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """As ``_pairs_of`` and ``plausible`` in one, for regions of a bounded number of documents: each is compared inside the
-    task that holds it, so that only plausible pairs leave the task."""
-    marked = regions.select("region", "sig", "n", "place", "c").join(profiles.select("sig", "profile"), "sig")
-    marked = marked.select("region", "sig", "n", "place", "c", "profile").repartition("region").sortWithinPartitions("region")
+    marked = regions.select("region", "home", "sig", "n", "place", "c").join(profiles.select("sig", *PARITIES), "sig")
+    marked = marked.repartition("home").sortWithinPartitions("home", "region")
 
     def pairs(table: pa.Table) -> pa.RecordBatch:
         region, sig, n, place, c = (table.column(x).to_numpy() for x in ("region", "sig", "n", "place", "c"))
-        counts = np.frombuffer(b"".join(table.column("profile").to_pylist()), np.uint8).reshape(-1, GROUPS)
+        odd = [table.column(x).to_numpy() for x in PARITIES]
         left, right = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         for step in range(1, len(sig)):
             i = np.flatnonzero(region[step:] == region[:-step])
@@ -307,85 +352,144 @@ def _small_pairs(regions: DataFrame, profiles: DataFrame, percent: int) -> DataF
             fits = (sig[i] != sig[j]) & (c[i] != c[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)
             fits &= np.minimum(n[i] - place[i], n[j] - place[j]) * (100 + percent) >= total * percent
             i, j, total = i[fits], j[fits], total[fits]
-            apart = np.abs(counts[i].astype(np.int16) - counts[j]).sum(axis=1, dtype=np.int64)
+            apart = sum((np.bitwise_count((x[i] ^ x[j]).view(np.uint64)).astype(np.int64) for x in odd), np.zeros(len(i), np.int64))
             fits = (total - apart) * 100 >= (total + apart) * percent
             left.append(sig[i[fits]])
             right.append(sig[j[fits]])
         a, b = np.concatenate(left), np.concatenate(right)
-        return pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+        return _once(np.minimum(a, b), np.maximum(a, b))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
-            # The last region may go on in the next batch.
-            region = table.column("region").to_numpy()
-            cut = int(np.searchsorted(region, region[-1])) if len(region) else 0
-            rest = table.slice(cut)
-            yield pairs(table.slice(0, cut))
-        if rest is not None:
-            yield pairs(rest)
+        return map(pairs, _groups(batches, "home"))
 
     return marked.mapInArrow(run, "a long, b long").distinct()
 
 
-def _walk(regions: DataFrame, percent: int, turn: int) -> DataFrame:
-    """Pairs (a < b) of different components and fitting sizes that follow each other in a random order of their region."""
-    by = W.partitionBy("region").orderBy(F.xxhash64(F.lit(turn), "sig"), "sig")
-    met = regions.withColumns({"b": F.lag("sig").over(by), "m": F.lag("n").over(by), "cb": F.lag("c").over(by)})
-    met = met.filter((F.col("c") != F.col("cb")) & _sized(percent))
-    return met.select(F.least("sig", "b").alias("a"), F.greatest("sig", "b").alias("b"))
+def _once(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    """The different pairs (a, b)."""
+    order = np.lexsort((b, a))
+    a, b = a[order], b[order]
+    new = np.ones(len(a), bool)
+    new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+    return pa.RecordBatch.from_arrays([pa.array(a[new]), pa.array(b[new])], names=["a", "b"])
+
+
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of rows sorted by ``key``, none of which ends inside a group."""
+    rest = []
+    for batch in batches:
+        found = batch.column(key).to_numpy()
+        if not len(found):
+            continue
+        # The last group may go on in the next batch.
+        cut = int(np.searchsorted(found, found[-1]))
+        if cut:
+            yield pa.Table.from_batches([*rest, batch.slice(0, cut)])
+            rest = []
+        elif rest and rest[-1].column(key)[-1] != batch.column(key)[0]:
+            yield pa.Table.from_batches(rest)
+            rest = []
+        rest.append(batch.slice(cut))
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
+def _block_pairs(regions: DataFrame, profiles: DataFrame, percent: int, closest: bool) -> DataFrame:
+    """Pairs (a < b) of one region and different components whose sizes and profiles allow the likeness; with ``closest``
+    only the one of each document and block whose profiles leave most room.
+
+    Regions are cut into blocks of about BLOCK documents, and each pair of blocks is compared inside one task, so that no
+    task holds a region and only plausible pairs leave it.
+    """
+    marked = regions.select("region", "sig", "n", "c", "size").join(profiles.select("sig", "profile"), "sig")
+    blocks = F.ceil(F.col("size") / BLOCK)
+    marked = marked.withColumn("own", F.pmod(F.xxhash64("sig"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    marked = marked.select(F.xxhash64("region", low, high).alias("group"), "region", low.alias("low"), high.alias("high"), "own", "sig", "n", "c", "profile")
+    marked = marked.repartition("group").sortWithinPartitions("group")
+
+    def pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
+        names = ("region", "low", "high", "own", "sig", "n", "c")
+        region, low, high, own, sig, n, c = (table.column(x).to_numpy() for x in names)
+        held = table.column("profile").to_pylist()
+        # Groups are named by a hash, so their fields tell them apart.
+        for name in sorted(set(zip(region.tolist(), low.tolist(), high.tolist()))):
+            rows = np.flatnonzero((region == name[0]) & (low == name[1]) & (high == name[2]))
+            x, y = rows[own[rows] == name[1]], rows[own[rows] == name[2]]
+            i, j = np.repeat(x, len(y)), np.tile(y, len(x))
+            fits = (c[i] != c[j]) & (np.minimum(n[i], n[j]) * 100 >= np.maximum(n[i], n[j]) * percent)
+            fits &= (sig[i] < sig[j]) if name[1] == name[2] else (sig[i] != sig[j])
+            i, j = i[fits], j[fits]
+            total, apart = n[i] + n[j], profiles_apart(held, i, j)
+            fits = (total - apart) * 100 >= (total + apart) * percent
+            i, j, room = i[fits], j[fits], apart[fits] / total[fits]
+            if closest and len(i):
+                order = np.argsort(room, kind="stable")
+                keep = np.concatenate([order[np.unique(k[order], return_index=True)[1]] for k in (i, j)])
+                i, j = i[keep], j[keep]
+            yield _once(np.minimum(sig[i], sig[j]), np.maximum(sig[i], sig[j]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _groups(batches, "group"):
+            yield from pairs(table)
+
+    return marked.mapInArrow(run, "a long, b long").distinct()
 
 
 def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str, text: str, words: int, percent: int, leaf: int = LEAF, levels: int = LEVELS) -> DataFrame:
     """(v, c): every linked set with the smallest of its component.  Sets of likeness ``percent`` / 100 or more link; every
     link is computed exactly."""
-    entries = first_regions(docs, text, words, percent, common_marks(common))
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    entries = first_regions(docs, text, words, percent, common_marks(common)).repartition(partitions, "region")
     by = W.partitionBy("region").orderBy("sig")
-    entries = entries.withColumns({
-        "pivot": F.first("sig").over(by), "m": F.first("n").over(by), "next": F.lead("sig").over(by)
-    })
+    entries = entries.withColumns({"last": F.lag("sig").over(by), "next": F.lead("sig").over(by)})
     # Equal sets of several tasks count once; a region of one set has no pairs.
-    shared = entries.filter(
-        (F.col("next").isNull() | (F.col("next") != F.col("sig"))) & ((F.col("pivot") != F.col("sig")) | F.col("next").isNotNull())
-    )
-    regions = stage(shared.select("region", "sig", "n", "place", "pivot", "m"), "regions")
-    profiles = stage(rows.filter(F.col("profile").isNotNull()).select("sig", "n", "profile", *PARITIES).dropDuplicates(["sig"]), "profiles")
-
-    # Level 1: each document with the pivot that it meets most often, its nearest as far as the regions tell.
-    stars = regions.filter((F.col("pivot") != F.col("sig")) & _sized(percent)).groupBy("sig", "pivot").count()
-    nearest = stars.groupBy("sig").agg(F.max(F.struct("count", "pivot")).alias("x")).select(F.col("sig").alias("a"), F.col("x.pivot").alias("b"))
-    nearest = stage(plausible(nearest, profiles, percent), "nearest")
-    # If all of these were links: what could link besides?  So the texts are fetched once for all levels.
-    guessed = _open_regions(regions.select("region", "sig", "n", "place"), components(nearest))
-    guessed = stage(guessed, "open-regions")
-    besides = _small_pairs(guessed.filter(F.col("size") <= leaf), profiles, percent)
-    pairs = stage(nearest.unionByName(besides), "pairs")
-    needed = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig")))
-    needed = needed.unionByName(guessed.filter(F.col("size") > leaf).select("sig")).distinct()
-    # One row, and so one text, of each set.
-    owner = rows.filter(F.col("n") > 0).groupBy("sig").agg(F.min(F.struct(F.xxhash64("id").alias("k"), "tk")).alias("o"))
-    owner = owner.join(needed, "sig", "left_semi").select("sig", "o.k", "o.tk")
-    texts = docs.select(F.xxhash64(key).alias("k"), text_key(key, text).alias("tk"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    pool = stage_buckets(texts.join(owner, ["k", "tk"]).dropDuplicates(["k", "tk"]).select("sig", "text"), "pool", "sig")
-
-    checked = stage(distances(pairs, pool, words), "distances")
+    shared = entries.filter((F.col("last").isNull() | (F.col("last") != F.col("sig"))) & (F.col("last").isNotNull() | F.col("next").isNotNull()))
+    # A row of a region without any other of fitting size has no pairs; one of a region of two needs room with the other.
+    sized, every = W.partitionBy("region").orderBy("n", "sig"), W.partitionBy("region")
+    ends = F.struct("n", "place")
+    shared = shared.withColumns({"x": F.lag(ends).over(sized), "y": F.lead(ends).over(sized), "size": F.count(F.lit(1)).over(every)})
+
+    def meets(other: str):
+        m, total = F.col(f"{other}.n"), F.col("n") + F.col(f"{other}.n")
+        room = F.least(F.col("n") - F.col("place"), m - F.col(f"{other}.place")) * (100 + percent) >= total * percent
+        return F.coalesce(_sized(percent, "n", f"{other}.n") & (room | (F.col("size") > 2)), F.lit(False))
+
+    shared = shared.filter(meets("x") | meets("y"))
+    shared = shared.withColumns({"home": F.first("sig").over(by), "m": F.first("n").over(by)})
+    regions = stage_buckets(shared.select("region", "home", "sig", "n", "place", "m"), "regions", "region", dealt=True)
+    own = rows.filter(F.col("profile").isNotNull()).withColumn("k", F.xxhash64("id"))
+    profiles = stage_buckets(own.select("sig", "n", "k", "tk", "profile", *PARITIES).dropDuplicates(["sig"]), "profiles", "sig")
+
+    # Each document with the pivot that it meets most often, its nearest as far as the regions tell.
+    stars = regions.filter((F.col("home") != F.col("sig")) & _sized(percent)).groupBy("sig", "home").count()
+    nearest = stars.groupBy("sig").agg(F.max(F.struct("count", "home")).alias("x")).select(F.col("sig").alias("a"), F.col("x.home").alias("b"))
+    nearest = stage(plausible(stage(nearest, "candidates"), profiles, percent), "nearest")
+    pool = fetched(docs, key, text, profiles, _ends(nearest))
+    checked = stage(distances(nearest, pool, words), "distances")
     near = F.col("shared") * 100 >= F.col("united") * percent
     known = components(checked.filter(near))
 
-    def compare(pairs: DataFrame) -> tuple[DataFrame, DataFrame, bool]:
-        """(checked, known, whether a link is new) with the pairs that were not compared before."""
-        seen = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = stage(pairs.distinct().join(seen, ["a", "b"], "left_anti"), "pairs")
-        fresh = stage(distances(fresh, pool, words), "distances")
+    def compare(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(checked, known) with the pairs that were not compared before, which ``pairs`` (staged) may hold."""
+        fresh = stage(distances(pairs, pool, words), "distances")
         links = fresh.filter(near).select("a", "b")
+        # Components are the vertices of the new links.
+        x, y = known.select(F.col("v").alias("a"), F.col("c").alias("x")), known.select(F.col("v").alias("b"), F.col("c").alias("y"))
+        links = links.join(x, "a", "left").join(y, "b", "left").select("a", "b", F.coalesce("x", "a").alias("x"), F.coalesce("y", "b").alias("y"))
+        links = stage(links.filter(F.col("x") != F.col("y")), "links")
         if links.isEmpty():
-            return checked.unionByName(fresh), known, False
-        # A component needs no more than the links to its smallest vertex.
-        trees = known.select(F.col("v").alias("a"), F.col("c").alias("b"))
-        return checked.unionByName(fresh), components(trees.unionByName(links)), True
+            return checked.unionByName(fresh), known
+        roots = components(links, "x", "y").select(F.col("v").alias("k"), F.col("c").alias("r"))
+        moved = known.join(roots, F.col("c") == F.col("k"), "left").select("v", F.coalesce("r", "c").alias("c"))
+        new = roots.join(known, F.col("k") == F.col("v"), "left_anti").select(F.col("k").alias("v"), F.col("r").alias("c"))
+        every = moved.unionByName(new)
+        return checked.unionByName(fresh), stage(every, "known")
+
+    def unseen(pairs: DataFrame) -> DataFrame:
+        seen = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        return stage(pairs.distinct().join(seen, ["a", "b"], "left_anti"), "pairs")
 
-    regions = regions.select(F.xxhash64(F.lit(0), "region").alias("region"), "sig", "n", "place")
     e, level = (100 - percent) / 100, 0
     while True:
         level += 1
@@ -393,10 +497,12 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
         if regions.isEmpty():
             return known
         if level > levels:
+            if level == 1:
+                pool = fetched(docs, key, text, profiles, regions.select("sig"))
             break
         # Small regions pair by pair, large ones by pivots.
         small, large = regions.filter(F.col("size") <= leaf), regions.filter(F.col("size") > leaf)
-        pairs = _small_pairs(small, profiles, percent)
+        pairs = plausible(stage(_small_pairs(small, profiles, percent), "candidates"), profiles, percent)
         first = W.partitionBy("region").orderBy("sig")
         large = large.withColumns({"pivot": F.first("sig").over(first), "m": F.first("n").over(first)})
         large = large.select("region", "sig", "n", "pivot", "m")
@@ -404,8 +510,11 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
             large = large.withColumn("region", F.xxhash64(F.lit("pivot"), "pivot")).distinct()
         large = stage(large, "large-regions")
         others = large.filter(F.col("sig") != F.col("pivot"))
-        pairs = pairs.unionByName(others.select(F.least("sig", "pivot").alias("a"), F.greatest("sig", "pivot").alias("b")))
-        checked, known, _ = compare(pairs)
+        pairs = unseen(pairs.unionByName(others.select(F.least("sig", "pivot").alias("a"), F.greatest("sig", "pivot").alias("b"))))
+        if level == 1:
+            # All pairs of later levels are of large regions.
+            pool = fetched(docs, key, text, profiles, _ends(pairs).unionByName(large.select("sig")))
+        checked, known = compare(pairs)
         apart = checked.select(
             F.least("a", "b").alias("x"), F.greatest("a", "b").alias("y"), (1 - F.col("shared") / F.col("united")).alias("d")
         ).dropDuplicates(["x", "y"])
@@ -415,16 +524,14 @@ def similar_sets(docs: DataFrame, rows: DataFrame, common: DataFrame, key: str,
         outer = F.floor(F.col("d") / e + 1e-9).cast("int")
         ring = F.explode(F.array_distinct(F.array(inner - 1, inner, outer - 1, outer))).alias("ring")
         ringed = placed.select("region", "sig", "n", ring).filter(F.col("ring") >= 0)
-        regions = ringed.select(F.xxhash64(F.lit(level), "region", "ring").alias("region"), "sig", "n", F.lit(0).cast("long").alias("place"))
-
-    for turn in range(WALKS):
-        checked, known, more = compare(plausible(_walk(regions, percent, turn).distinct(), profiles, percent))
-        if not more:
-            break
-        regions = stage(_open_regions(regions.select("region", "sig", "n", "place"), known), "open-regions")
-        if regions.isEmpty():
-            return known
-    return compare(plausible(_pairs_of(regions, profiles, percent).distinct(), profiles, percent))[1]
+        region = F.xxhash64(F.lit(level), "region", "ring")
+        regions = ringed.select(region.alias("region"), region.alias("home"), "sig", "n", F.lit(0).cast("long").alias("place"))
+
+    checked, known = compare(unseen(_block_pairs(regions, profiles, percent, closest=True)))
+    regions = stage(_open_regions(regions.drop("c", "size"), known), "open-regions")
+    if regions.isEmpty():
+        return known
+    return compare(unseen(_block_pairs(regions, profiles, percent, closest=False)))[1]
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
